@@ -1,21 +1,25 @@
 """SQL fragments of the text functions, written for DuckDB."""
 
 from tessella import constants as C
+from tessella.functions.text import char_class
 
 
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def listed(words: list[str]) -> str:
-    return "[" + ", ".join(map(quoted, words)) + "]"
+def tuple_of(words: list[str]) -> str:
+    return "(" + ", ".join(map(quoted, words)) + ")"
+
+
+_SPECIAL = f"[{char_class(C.SPECIAL_CHARACTERS)}]"
 
 
 def words(text: str) -> str:
-    pieces = f"list_filter(string_split_regex(lower({text}), '[ \\n\\t]'), lambda x: x <> '')"
-    return (
-        f"list_filter(list_transform({pieces}, lambda x: trim(x, {quoted(C.SPECIAL_CHARACTERS)})), lambda x: x <> '')"
-    )
+    """Split on blanks, then strip special characters from both ends of each piece."""
+    pieces = f"string_split_regex(lower({text}), '[ \\n\\t]')"
+    stripped = f"list_transform({pieces}, lambda x: regexp_replace(x, '^{_SPECIAL}+|{_SPECIAL}+$', '', 'g'))"
+    return f"list_filter({stripped}, lambda x: x <> '')"
 
 
 def bare(text: str) -> str:
@@ -34,8 +38,8 @@ def special_ratio(text: str) -> str:
 
 
 def listed_ratio(word_list: str, lexicon: list[str]) -> str:
-    hits = f"len(list_filter({word_list}, lambda x: list_contains({listed(lexicon)}, x)))"
-    return f"CASE WHEN len({word_list}) = 0 THEN 0 ELSE {hits} / len({word_list}) END"
+    hits = f"list_transform({word_list}, lambda x: CASE WHEN x IN {tuple_of(lexicon)} THEN 1 ELSE 0 END)"
+    return f"coalesce(list_avg({hits}), 0)"
 
 
 def punctuation_ratio(text: str, min_words: int = -1) -> str:
@@ -48,13 +52,21 @@ def punctuation_ratio(text: str, min_words: int = -1) -> str:
     )
 
 
+def char_grams(source: str, ids: str, text: str, n: int, name: str) -> str:
+    """CTE `name` (ids, g): every window of n characters of a text."""
+    window = " || ".join(["c", *[f"lead(c, {k}) OVER w" for k in range(1, n)]])
+    return f"""
+{name} AS (
+  SELECT {ids}, g FROM (
+    SELECT {ids}, {window} AS g
+    FROM (SELECT {ids}, unnest(string_split({text}, '')) AS c,
+                 generate_subscripts(string_split({text}, ''), 1) AS i FROM {source})
+    WINDOW w AS (PARTITION BY {ids} ORDER BY i)) WHERE g IS NOT NULL)"""
+
+
 def char_repetition(source: str, ids: str, text: str, n: int = 10, name: str = "char_rep") -> str:
     """Common table expressions ending in `name` (ids, ratio)."""
-    return f"""
-{name}_grams AS (
-  SELECT {ids}, unnest(CASE WHEN length({text}) >= {n}
-    THEN list_transform(range(1, length({text}) - {n} + 2), lambda i: substring({text}, i, {n})) ELSE [] END) AS g
-  FROM {source}),
+    return f"""{char_grams(source, ids, text, n, f"{name}_grams")},
 {name}_counts AS (SELECT {ids}, g, count(*) AS c FROM {name}_grams GROUP BY ALL),
 {name}_ranked AS (
   SELECT {ids}, c, row_number() OVER (PARTITION BY {ids} ORDER BY c DESC) AS rk,

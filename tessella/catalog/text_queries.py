@@ -173,9 +173,7 @@ LANGUAGE_SCORES = f"""
 lang_texts AS (
   SELECT doc_id, CASE lang WHEN 'es' THEN 'fr' ELSE lang END AS lang,
          replace(lower(text), chr(10), ' ') AS t FROM documents),
-lang_grams AS (
-  SELECT doc_id, lang, unnest(CASE WHEN length(t) >= 3
-    THEN list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)) ELSE [] END) AS g FROM lang_texts),
+{S.char_grams("lang_texts", "doc_id, lang", "t", 3, "lang_grams").strip()},
 lang_facts AS (SELECT doc_id, lang, g, count(*) AS c FROM lang_grams GROUP BY ALL),
 lang_counts AS (SELECT lang, g, sum(c) AS n FROM lang_facts GROUP BY ALL),
 lang_bases AS (

@@ -10,7 +10,13 @@ from tessella.constants import END_OF_DOCUMENT
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. One too small to give every core a split is spread over them.
+
+    Large tables have more splits than cores and are left as they are read.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _text(column: str) -> Column:

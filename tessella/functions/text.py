@@ -93,10 +93,16 @@ def split_ws(text: Column, newline: bool = False, tab: bool = False) -> Column:
     return F.filter(F.split(text, f"[{separators}]"), lambda x: x != "")
 
 
-_SPECIAL_CLASS = char_class(C.SPECIAL_CHARACTERS)
-# A word starts and ends with a character that is not special and holds no blank;
-# one scan finds what splitting on blanks and stripping each piece would give.
-_WORD_EDGE = f"[^{char_class(C.SPECIAL_CHARACTERS, extra=' ')}]"
+# One character that may start or end a word. The full list is a long chain of
+# comparisons for the regular-expression engine, so ASCII is decided before it: the
+# lookahead rejects its special characters, and common letters come first in the union.
+_EVERYDAY_LETTERS = "a-zß-öù-ÿ\\x{430}-\\x{44F}\\x{621}-\\x{63A}\\x{641}-\\x{64A}"
+_WORD_EDGE = (
+    "(?![\\t-\\r\\x20-@\\[-`{-~])"
+    f"[{_EVERYDAY_LETTERS}[^{char_class(C.SPECIAL_CHARACTERS, extra=' ')}]]"
+)
+# A word holds no blank and has such characters at both ends; one scan finds what
+# splitting on blanks and stripping each piece would give.
 WORD_PATTERN = f"{_WORD_EDGE}(?:[^ \\n\\t]*{_WORD_EDGE})?"
 
 

@@ -205,18 +205,20 @@ def similar_nodes(docs: DataFrame, threshold: int = 80, per_tile: int = TEXTS_PE
     marked = docs.select("doc_id", pairs.alias("pairs")).select("doc_id", "pairs.copies", "pairs.firsts")
     copies = marked.select("doc_id", F.explode("copies").alias("pos"))
 
-    @F.pandas_udf("array<int>")
-    def in_place(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for text_lists, pos_lists in columns:
-            yield pd.Series(
-                [later_similar(list(t), list(p), threshold) for t, p in zip(text_lists, pos_lists)], dtype=object
-            )
+    def compare_in_place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [
+                (doc_id, pos)
+                for doc_id, texts, positions in zip(batch["doc_id"], batch["texts"], batch["positions"])
+                for pos in later_similar(list(texts), list(positions), threshold)
+            ]
+            yield pd.DataFrame(found, columns=["doc_id", "pos"])
 
     texts_of = F.col("firsts")
     short = (
         marked.filter(F.size(texts_of).between(2, per_tile))
-        .select("doc_id", in_place(texts_of["text"], texts_of["pos"]).alias("found"))
-        .select("doc_id", F.explode("found").alias("pos"))
+        .select("doc_id", texts_of["text"].alias("texts"), texts_of["pos"].alias("positions"))
+        .mapInPandas(compare_in_place, f"doc_id {id_type}, pos int")
     )
 
     blocks = F.ceil(F.size(texts_of) / per_tile).cast("int")

@@ -37,8 +37,8 @@ def salted_join(
     hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1)).cast("bigint"))
     salted_left = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
-    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(salts).cast("bigint")).drop("_salts")
+    salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)).cast("bigint") - 1)
+    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
