@@ -282,21 +282,27 @@ def remerge_text(nodes: Column) -> Column:
     return _islands(nodes, starts_new, fused)
 
 
-def simplify(nodes: Column) -> Column:
-    """All tree simplifications in their order."""
-    for step in (
-        drop_matching,
-        replace_matching,
-        unwrap_inline,
-        strip_uninteresting,
-        strip_special_divs,
-        drop_date_text,
-        drop_empty_leaves,
-        unnest_same_tag,
-        remerge_text,
-    ):
-        nodes = step(nodes)
-    return nodes
+SIMPLIFICATIONS = (
+    drop_matching,
+    replace_matching,
+    unwrap_inline,
+    strip_uninteresting,
+    strip_special_divs,
+    drop_date_text,
+    drop_empty_leaves,
+    unnest_same_tag,
+    remerge_text,
+)
+
+
+def simplify(pages_nodes: DataFrame) -> DataFrame:
+    """All tree simplifications in their order.
+
+    One projection per step keeps each expression small for the analyzer.
+    """
+    for step in SIMPLIFICATIONS:
+        pages_nodes = pages_nodes.withColumn("nodes", step(F.col("nodes")))
+    return pages_nodes
 
 
 # --- Leaves to document nodes ------------------------------------------------------
@@ -488,7 +494,11 @@ def document_nodes(leaves: Column) -> Column:
     )
 
 
+def extract_leaves(pages_nodes: DataFrame) -> DataFrame:
+    return pages_nodes.withColumn("nodes", keep_text_and_images(F.col("nodes"), F.col("url")))
+
+
 def pack_documents(pages_nodes: DataFrame) -> DataFrame:
     """Web documents from pages with parsed nodes; a failed page stays as an empty one."""
-    leaves = merge_text_nodes(keep_text_and_images(simplify(F.col("nodes")), F.col("url")))
-    return pages_nodes.withColumn("nodes", document_nodes(leaves)).withColumn("domain", U.domain(F.col("url")))
+    merged = extract_leaves(simplify(pages_nodes)).withColumn("nodes", merge_text_nodes(F.col("nodes")))
+    return merged.withColumn("nodes", document_nodes(F.col("nodes"))).withColumn("domain", U.domain(F.col("url")))
