@@ -8,7 +8,7 @@ from tessella.functions.arrays import let
 from tessella.functions.metrics import spam_word_ratio
 from tessella.functions.text import strip_blanks
 from tessella.operators.dedup import dedup_images_in_doc
-from tessella.operators.nodes import filter_paragraphs, image_srcs, is_image, map_texts, texts
+from tessella.operators.nodes import compute_once, filter_paragraphs, image_srcs, is_image, map_texts, texts
 
 
 def merge_adjacent_texts(nodes: Column, separator: str = PARAGRAPH_SEPARATOR) -> Column:
@@ -114,11 +114,14 @@ def final_nodes(nodes: Column, separator: str = PARAGRAPH_SEPARATOR) -> Column:
 
 def final_processing(docs: DataFrame, separator: str = PARAGRAPH_SEPARATOR) -> DataFrame:
     """Final node steps, then the two document filters."""
-    docs = docs.withColumn("nodes", final_nodes(F.col("nodes"), separator))
-    return docs.filter(~is_marker_only(F.col("nodes")) & has_text_and_image(F.col("nodes")))
+    nodes = let(
+        final_nodes(F.col("nodes"), separator),
+        lambda n: F.when(~is_marker_only(n) & has_text_and_image(n), n),
+    )
+    return compute_once(docs, "nodes", nodes)
 
 
 def final_cleaning(docs: DataFrame, separator: str = PARAGRAPH_SEPARATOR) -> DataFrame:
     """Merge texts and keep the documents with text and image."""
-    docs = docs.withColumn("nodes", merge_adjacent_texts(F.col("nodes"), separator))
-    return docs.filter(has_text_and_image(F.col("nodes")))
+    nodes = let(merge_adjacent_texts(F.col("nodes"), separator), lambda n: F.when(has_text_and_image(n), n))
+    return compute_once(docs, "nodes", nodes)

@@ -29,32 +29,41 @@ def _counted(keys: Column) -> Column:
     )
 
 
-def key_counts(texts: DataFrame, ids: list[str], keys: Column) -> DataFrame:
-    """(ids, key, c) of each text."""
-    return texts.select(*ids, F.inline(_counted(keys)))
-
-
-def look_up(facts: DataFrame, model: DataFrame, ids: list[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Facts with the model columns of their key; facts without a known key are left out.
+def weighted_keys(
+    texts: DataFrame, ids: list[str], keys: Column, model: DataFrame, max_rows: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    """(ids, key, c, model columns): the keys of each text with what the model says about them.
 
-    A model beyond the broadcast bound is joined by shuffle, with frequent keys salted.
+    Unknown keys stay, with NULLs, and a text without keys has one row with a NULL key.
+    With a small model each occurrence looks up its key in a broadcast table, and
+    nothing is shuffled before the sums. A larger model is joined by shuffle; then a
+    text first counts its distinct keys, and frequent keys are salted.
     """
     model, small = broadcast_if_small(model, max_rows)
     if small:
-        return facts.join(model, "key")
+        facts = texts.select(*ids, F.explode_outer(keys).alias("key"))
+        return facts.withColumn("c", F.when(F.col("key").isNotNull(), 1).otherwise(0)).join(model, "key", "left")
+    facts = texts.select(*ids, F.inline_outer(_counted(keys))).fillna(0, ["c"])
     hot = hot_keys(count_rows(facts, ["key"]), ["key"])
-    return salted_join(facts, model, ["key"], hot, ids)
+    return salted_join(facts, model, ["key"], hot, ids, "left")
 
 
 # --- Language ---------------------------------------------------------------------
 
 
+MAX_LANGUAGES = 1000
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """`weights`: (key, by_lang array of (lang, w)); `bases`: (lang, base), one row per language."""
+    """`weights`: (key, w0, w1, ...), one weight per language in the order of `languages`.
+
+    `bases` holds the weight of an unknown n-gram per language.
+    """
 
     weights: DataFrame
-    bases: DataFrame
+    languages: list[str]
+    bases: list[int]
     n: int
 
 
@@ -74,20 +83,27 @@ def train_language_model(
     lang = F.col(label)
     for source, target in (fold or {}).items():
         lang = F.when(lang == source, F.lit(target)).otherwise(lang)
-    counts = (
-        key_counts(labelled.select(lang.alias("lang"), text), ["lang"], language_keys(F.col(text), n))
-        .groupBy("lang", "key")
-        .agg(F.sum("c").alias("n"))
-    )
-    counts = settle(counts)
+    grams = labelled.select(lang.alias("lang"), F.explode_outer(language_keys(F.col(text), n)).alias("key"))
+    counts = settle(count_rows(grams.filter(F.col("key").isNotNull()), ["lang", "key"]))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     vocabulary = counts.agg(F.count_distinct("key").alias("v")).scalar()
     floor = F.ln(F.lit(k) / (F.col("total") + F.lit(k) * vocabulary))
-    bases = settle(totals.select("lang", F.round(floor * UNIT).cast("bigint").alias("base")))
+    # One short row per label; more labels than the bound are an error.
+    rows = (
+        totals.select("lang", F.round(floor * UNIT).cast("bigint").alias("base"))
+        .orderBy("lang")
+        .limit(MAX_LANGUAGES + 1)
+        .collect()
+    )
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    languages = [r["lang"] for r in rows]
     # ln((n + k) / (total + k v)) - ln(k / (total + k v)) = ln((n + k) / k)
     weight = F.round(F.ln((F.col("n") + k) / F.lit(k)) * UNIT).cast("bigint")
-    weights = counts.groupBy("key").agg(F.collect_list(F.struct("lang", weight.alias("w"))).alias("by_lang"))
-    return LanguageModel(settle(weights), bases, n)
+    weights = counts.groupBy("key").agg(
+        *[F.max(F.when(F.col("lang") == lang, weight)).alias(f"w{i}") for i, lang in enumerate(languages)]
+    )
+    return LanguageModel(settle(weights), languages, [r["base"] for r in rows], n)
 
 
 def identify_language(
@@ -97,25 +113,20 @@ def identify_language(
 
     Every text has a row; one without any n-gram gets the first language with equal odds.
     """
-    facts = key_counts(texts, ids, language_keys(F.col(text), model.n))
-    hits = (
-        look_up(facts, model.weights, ids, max_rows)
-        .select(*ids, "c", F.inline("by_lang"))
-        .groupBy(*ids, "lang")
-        .agg(F.sum(F.col("c") * F.col("w")).alias("hit"))
-    )
-    # One entry per language: a handful of labels, gathered into one array.
-    languages = model.bases.agg(F.sort_array(F.collect_list(F.struct("lang", "base"))).alias("a")).scalar()
-    size = F.greatest(F.length(text) - (model.n - 1), F.lit(0))
-    floor = texts.select(*ids, size.alias("m")).select(*ids, "m", F.inline(languages)).select(
-        *ids, "lang", (F.col("m") * F.col("base")).alias("floor")
-    )
-    scores = floor.join(hits, [*ids, "lang"], "left").select(
-        *ids, "lang", (F.col("floor") + F.coalesce("hit", F.lit(0))).alias("s")
+    facts = weighted_keys(texts, ids, language_keys(F.col(text), model.n), model.weights, max_rows)
+    sums = facts.groupBy(*ids).agg(
+        F.sum("c").alias("m"),
+        *[F.sum(F.col("c") * F.coalesce(f"w{i}", F.lit(0))).alias(f"s{i}") for i in range(len(model.languages))],
     )
-    ranked = scores.groupBy(*ids).agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("s")).alias("cost"), "lang"))).alias("r")
+    costs = F.sort_array(
+        F.array(
+            *[
+                F.struct((-(F.col("m") * base + F.col(f"s{i}"))).alias("cost"), F.lit(lang).alias("lang"))
+                for i, (lang, base) in enumerate(zip(model.languages, model.bases))
+            ]
+        )
     )
+    ranked = sums.select(*ids, costs.alias("r"))
     best = F.get("r", F.lit(0))
     odds = F.aggregate(
         "r", F.lit(0.0), lambda acc, x: acc + F.exp((best["cost"] - x["cost"]) / F.lit(float(UNIT)))
@@ -169,11 +180,8 @@ def train_bigram_model(corpus: DataFrame, text: str = "text", k: float = 0.1, mi
     ln-sums: a base of -log10 v for each bigram, corrected by the weights of the
     context and of the bigram where they are known.
     """
-    numbered = corpus.select(F.lit(0).alias("one"), text)
-    counts = (
-        key_counts(numbered, ["one"], bigram_keys(F.col(text))).groupBy("key").agg(F.sum("c").alias("n"))
-    )
-    counts = settle(counts)
+    bigrams = corpus.select(F.explode_outer(bigram_keys(F.col(text))).alias("key"))
+    counts = settle(count_rows(bigrams.filter(F.col("key").isNotNull()), ["key"]))
     vocabulary = counts.agg(F.count_distinct(F.substring_index("key", " ", -1)).alias("v"))
     v = vocabulary.scalar()
     contexts = counts.groupBy(F.substring_index("key", " ", 1).alias("key")).agg(F.sum("n").alias("n"))
@@ -193,18 +201,12 @@ def perplexity(
     texts: DataFrame, model: BigramModel, ids: list[str], text: str = "text", max_rows: int = BROADCAST_MAX_ROWS
 ) -> DataFrame:
     """(ids, perplexity): 10^(-log score / tokens), a line of m tokens counting m + 1."""
-    keyed = texts.select(*ids, bigram_keys(F.col(text)).alias("bigrams"))
-    facts = keyed.select(*ids, F.inline(_counted(_with_contexts(F.col("bigrams")))))
-    hits = (
-        look_up(facts, model.weights, ids, max_rows)
-        .groupBy(*ids)
-        .agg(F.sum(F.col("c") * F.col("w")).alias("hit"))
+    facts = weighted_keys(texts, ids, _with_contexts(bigram_keys(F.col(text))), model.weights, max_rows)
+    sums = facts.groupBy(*ids).agg(
+        F.sum(F.col("c") * F.coalesce("w", F.lit(0))).alias("hit"),
+        F.sum(F.when(F.contains("key", F.lit(" ")), F.col("c"))).alias("m"),
     )
-    size = F.size("bigrams")
-    score = F.coalesce("hit", F.lit(0)) + F.col("m") * model.base.scalar()
-    return (
-        keyed.select(*ids, size.alias("m"))
-        .join(hits, ids, "left")
-        .select(*ids, F.round(F.pow(F.lit(10.0), -score / F.lit(float(UNIT)) / F.col("m")), 1).alias("perplexity"))
+    score = F.col("hit") + F.col("m") * model.base.scalar()
+    return sums.select(
+        *ids, F.round(F.pow(F.lit(10.0), -score / F.lit(float(UNIT)) / F.col("m")), 1).alias("perplexity")
     )
-

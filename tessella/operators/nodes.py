@@ -75,7 +75,19 @@ def paragraph_table(docs: DataFrame, *columns: str, separator: str = PARAGRAPH_S
             lambda p, j: F.struct(i.alias("node"), j.alias("par"), p.alias("paragraph")),
         )
 
-    return docs.select("doc_id", *columns, F.inline(F.flatten(F.transform("nodes", of_node))))
+    # The outer form keeps the optimizer from splitting every text a second time in a filter.
+    rows = docs.select("doc_id", *columns, F.inline_outer(F.flatten(F.transform("nodes", of_node))))
+    return rows.filter(F.col("node").isNotNull())
+
+
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`withColumn` that drops the rows where the value is NULL and evaluates it once.
+
+    A plain filter on a computed column is pushed below its projection, which repeats
+    the whole expression; a generator is a border for that.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.explode_outer(F.array(value)).alias(name)).filter(F.col(name).isNotNull()).select(*df.columns)
 
 
 def drop_nodes(docs: DataFrame, drops: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 # Tables up to this many rows, of bounded width, may be sent to every executor.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 4_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
