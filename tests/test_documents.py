@@ -110,7 +110,7 @@ def _skewed(make_docs):
     return make_docs(rows)
 
 
-@pytest.mark.parametrize("partitions", [1, 5])
+@pytest.mark.parametrize("partitions", [5])
 def test_hot_keys_change_nothing(make_docs, bodies, partitions):
     docs = _skewed(make_docs).repartition(partitions)
     listed = docs.select(F.lit("hot").alias("url")).distinct()
