@@ -38,14 +38,20 @@ def absolutize(page_url: Column, src: Column) -> Column:
     )
 
 
+def _is_usable(value: Column) -> Column:
+    return (value != "") & ~value.contains(",") & ~value.contains(" ")
+
+
 def usable_source(value: Column) -> Column:
     """The value if it can be one address (no comma, no blank), else NULL."""
-    return F.when((value != "") & ~value.contains(",") & ~value.contains(" "), value)
+    return F.when(_is_usable(value), value)
 
 
 def image_source(attrs: Column) -> Column:
     """First usable address among the known image attributes of an attribute map."""
-    return F.coalesce(*[usable_source(F.element_at(attrs, name)) for name in IMAGE_SOURCE_ATTRIBUTES])
+    names = F.array(*map(F.lit, IMAGE_SOURCE_ATTRIBUTES))
+    values = F.transform(names, lambda name: F.element_at(attrs, name))
+    return F.get(F.filter(values, _is_usable), F.lit(0))
 
 
 def filename_text(src: Column) -> Column:

@@ -398,7 +398,10 @@ def keep_text_and_images(nodes: Column, page_url: Column) -> Column:
     def leaves(all_nodes: Column) -> Column:
         def with_captions(captions: Column) -> Column:
             def leaf(n: Column) -> Column:
-                meta = F.when(n["tag"] == "img", image_record(n["attrs"], page_url, U.image_source(n["attrs"])))
+                meta = let(
+                    F.when(n["tag"] == "img", U.image_source(n["attrs"])),
+                    lambda raw: image_record(n["attrs"], page_url, raw),
+                )
 
                 def made(m: Column) -> Column:
                     is_text = _is_text(n)
