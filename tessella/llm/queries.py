@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import exact_dedup, mixing, ngram_join, packing
+from tessella.llm import exact_dedup, mixing, ngram_join, packing, suffix_dedup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +130,16 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY d.doc_id
 """
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the 50-byte strings of earlier documents."""
+    spans = suffix_dedup.repeated_spans(documents(spark, sf_dir))
+    return spans.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
