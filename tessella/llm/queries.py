@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import exact_dedup, mixing, ngram_join, packing, suffix_dedup
+from tessella.llm import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -143,3 +143,18 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every text."""
+    return license_scan.scan_licenses(documents(spark, sf_dir)).drop("spans")
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from three of four documents."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_id.train(docs.where(~held_out))
+    return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
