@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, suffix_dedup
+from tessella.llm import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, suffix_dedup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +158,20 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = language_id.train(docs.where(~held_out))
     return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text."""
+    docs = documents(spark, sf_dir)
+    found = pii.find_private(docs, pii.train(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
