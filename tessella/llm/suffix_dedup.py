@@ -31,7 +31,8 @@ GRAM = 24
 HOT = 4096
 #: Windows in a span at most.
 SPAN_WINDOWS = 64
-BLOCK_BYTES, BIN_BYTES = 8 << 20, 4 << 20
+#: Text of a block, text for each bin, and bytes that are hashed at once.
+BLOCK_BYTES, BIN_BYTES, SLICE = 4 << 20, 2 << 20, 1 << 20
 NAME_BITS = 48
 
 NAMES = "deal int, block long, names binary, counts binary"
@@ -49,7 +50,23 @@ def _words(data: np.ndarray, order: str) -> np.ndarray:
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, windows, name) of the stretches that the windows of all texts fall into."""
+    """(first window, windows, name) of the stretches that the windows of all texts fall into.
+
+    Works slice by slice to bound its memory; a stretch may be cut anywhere.
+    """
+    parts = []
+    for low in range(0, len(data), SLICE):
+        high = min(low + SLICE + length - 1, len(data))
+        a, b = np.searchsorted(offsets, (low, high), "right") - 1
+        edges = np.clip(offsets[a : b + 2], low, None) - low
+        start, count, name = _slice_spans(data[low:high], edges, length)
+        keep = start < SLICE
+        parts.append((start[keep] + low, np.minimum(count, SLICE - start)[keep], name[keep]))
+    parts = parts or [_slice_spans(data, offsets, length)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _slice_spans(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none.astype(np.uint64)
@@ -61,6 +78,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[
         reach *= 2
     if reach < width:
         h = np.minimum(h[: len(h) - (width - reach)], h[width - reach :])
+    offsets = np.minimum(offsets, len(data))
     ends = np.repeat(offsets[1:], np.diff(offsets))  # of the text at every byte
     n = min(len(h), len(data))
     valid = ends[:n] - np.arange(n) >= length

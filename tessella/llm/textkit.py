@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = HASH_BYTES = 1 << 21
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
@@ -99,7 +99,24 @@ def _powers_of(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end], equal for equal bytes wherever they stand."""
+    """64-bit hashes of data[start:end], equal for equal bytes wherever they stand.
+
+    Works on the spans that begin in one slice of the data at a time, to bound its memory.
+    """
+    if len(data) <= HASH_BYTES or not len(starts):
+        return _span_hashes(data, starts, ends)
+    order = np.argsort(starts, kind="stable")
+    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + HASH_BYTES, HASH_BYTES))
+    out = np.empty(len(starts), np.uint64)
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            part = order[a:b]
+            low = int(starts[part[0]])
+            out[part] = _span_hashes(data[low : int(ends[part].max())], starts[part] - low, ends[part] - low)
+    return out
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers_of(_BASE, n + 1)[:n], out=sums[1:])

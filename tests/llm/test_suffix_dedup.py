@@ -26,14 +26,14 @@ def brute(rows):
         runs = [r for r in bytes(gone).split(b"\0") if r]
         kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
         out.append((doc_id, len(data), sum(gone), len(runs), hashlib.sha256(kept).hexdigest()))
-    return sorted(out)
+    return sorted(out, key=str)
 
 
 def digest(df):
-    return sorted(
+    return sorted((
         (r["doc_id"], r["n_bytes"], sum(x["end"] - x["start"] for x in r["removed"]), len(r["removed"]), r["kept_sha256"])
         for r in df.collect()
-    )
+    ), key=str)
 
 
 def texts(seed, n=60):
@@ -106,4 +106,24 @@ def test_edges(spark):
 def test_query_agrees_with_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{entry.SMOKE_DIR}/documents.parquet").collect()]
     found = [tuple(r) for r in entry.queries()["op1_suffix_dedup"](spark, entry.SMOKE_DIR).collect()]
-    assert sorted(found) == brute(rows)
+    assert sorted(found, key=str) == brute(rows)
+
+
+def test_slices_do_not_change_the_result(spark, monkeypatch):
+    rows = [(i, t or "") for i, t in texts(11)]
+    data, offsets = sd.text_bytes(sd.pa.array([t for _, t in rows]))
+
+    def windows(found):
+        return {(int(s) + k, int(n)) for s, c, n in zip(*found, strict=True) for k in range(int(c))}
+
+    whole = windows(sd.spans(data, offsets))
+    assert len(whole) == sum(max(0, len(t.encode()) - 49) for _, t in rows)
+    for size in (64, 300, 1000):
+        monkeypatch.setattr(sd, "SLICE", size)
+        assert windows(sd.spans(data, offsets)) == whole
+    from tessella.llm import textkit
+
+    starts = np.arange(0, len(data) - 60, 7)[::-1]
+    expected = textkit.span_hashes(data, starts, starts + 60)
+    monkeypatch.setattr(textkit, "HASH_BYTES", 500)
+    assert (textkit.span_hashes(data, starts, starts + 60) == expected).all()
