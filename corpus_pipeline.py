@@ -6,7 +6,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import exact_dedup, mixing, packing
+from tessella.llm import exact_dedup, mixing, ngram_join, packing, quality
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_quality(docs, model, keep_columns=True).where("_kept").select(docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,6 +21,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are connected by near-equal texts the one with the smallest id stays."""
+    dropped = ngram_join.ngram_join(docs).where("doc_id != component_id").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, in training order."""
     plan = mixing.training_positions(mixing.plan_mix(docs), sort=False).select("doc_id", "epoch", "position")
@@ -27,7 +39,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", keep_good),
     ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
     ("mixing sources to target weights", mix_sources),
     ("best-fit packing", pack),
 ]

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, suffix_dedup
+from tessella.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    suffix_dedup,
+)
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -175,3 +186,36 @@ def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(kind) for kind in pii.BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between vectors of a cosine of 0.95 or more, and their components."""
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE["op6_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95
+), r(vec_id, c) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.c = l.a
+), n AS (
+  SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a
+)
+SELECT e.vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.c) AS component_id,
+  e.vec_id = min(r.c) AS kept
+FROM embeddings e JOIN r USING (vec_id) LEFT JOIN n USING (vec_id) GROUP BY e.vec_id
+"""
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labelled ones."""
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_quality(docs, model)
