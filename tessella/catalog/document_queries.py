@@ -9,7 +9,18 @@ from tessella import constants as C
 from tessella.catalog import sql as S
 from tessella.catalog.registry import register
 from tessella.catalog.text_queries import COMMON_WORDS, FLAGGED_WORDS, STOP_WORDS
-from tessella.catalog.views import DOC_NODES, DOCS_WEB, IMAGES, MARKED_NODES, docs_web, images, table, web_docs
+from tessella.catalog.views import (
+    DOC_NODES,
+    DOCS_WEB,
+    IMAGES,
+    KNOWN_IMAGES,
+    MARKED_NODES,
+    docs_web,
+    images,
+    known_images,
+    table,
+    web_docs,
+)
 from tessella.functions import metrics as M
 from tessella.functions import text as T
 from tessella.operators import cleanup, dedup, filters, profile
@@ -440,18 +451,22 @@ def _doubled_sql(source: str, name: str) -> str:
   UNION ALL SELECT doc_id, pos, NULL, src FROM {source} WHERE src IS NOT NULL)"""
 
 
-# Every line before and after a marker line is turned into one too, to get runs.
+# Runs of markers are put between the texts.
 def more_markers(docs: DataFrame) -> DataFrame:
-    def change(n, i):
-        near = (i + F.col("doc_id")) % 11 > 4
-        return n.withField("text", F.when(n["text"].isNotNull() & near, F.lit(EOD)).otherwise(n["text"]))
+    def with_markers(n, i):
+        marker = n.withField("text", F.lit(EOD))
+        near = n["text"].isNotNull() & ((i + F.col("doc_id")) % 11 > 4)
+        return F.when(near, F.array(n, marker, marker)).otherwise(F.array(n))
 
-    return docs.withColumn("nodes", F.transform("nodes", change))
+    return docs.withColumn("nodes", F.flatten(F.transform("nodes", with_markers)))
 
 
 _MORE_MARKERS = f"""more_markers AS (
-  SELECT doc_id, pos, src,
-         CASE WHEN src IS NULL AND (pos + doc_id) % 11 > 4 THEN '{EOD}' ELSE text END AS text FROM doc_nodes)"""
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY node_no, part) - 1 AS pos, src, text FROM (
+    SELECT doc_id, pos AS node_no, 0 AS part, src, text FROM doc_nodes
+    UNION ALL
+    SELECT doc_id, pos, part, NULL, '{EOD}' FROM doc_nodes, (VALUES (1), (2)) v(part)
+    WHERE src IS NULL AND (pos + doc_id) % 11 > 4))"""
 
 
 def _merged_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -600,7 +615,7 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return images(spark, sf_dir).select("url", F.col("width").alias("image"))
+    return known_images(spark, sf_dir).select("url", F.col("width").alias("image"))
 
 
 def attached(docs: DataFrame) -> DataFrame:
@@ -618,8 +633,8 @@ def attached_sql(relation: str) -> str:
 
 @register(
     "c1_attach_images",
-    f"""WITH {IMAGES}, found AS (
-  SELECT n.*, i.width AS image FROM doc_nodes n LEFT JOIN images i ON n.src = i.url) {attached_sql("found")}""",
+    f"""WITH {KNOWN_IMAGES}, found AS (
+  SELECT n.*, i.width AS image FROM doc_nodes n LEFT JOIN known_images i ON n.src = i.url) {attached_sql("found")}""",
 )
 def attach_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attached(store.attach_images(web_docs(spark, sf_dir), _payloads(spark, sf_dir)))
@@ -627,21 +642,21 @@ def attach_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "c2_attach_missing",
-    f"""WITH {IMAGES}, found AS (
+    f"""WITH {KNOWN_IMAGES}, found AS (
   SELECT n.*, coalesce(CASE WHEN i.width % 2 = 0 THEN i.width END, i.height) AS image
-  FROM doc_nodes n LEFT JOIN images i ON n.src = i.url) {attached_sql("found")}""",
+  FROM doc_nodes n LEFT JOIN known_images i ON n.src = i.url) {attached_sql("found")}""",
 )
 def attach_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = _payloads(spark, sf_dir).filter(F.col("image") % 2 == 0)
-    second = images(spark, sf_dir).select("url", F.col("height").alias("image"))
+    second = known_images(spark, sf_dir).select("url", F.col("height").alias("image"))
     docs = store.attach_images(web_docs(spark, sf_dir), first)
     return attached(store.attach_images(docs, second))
 
 
 @register(
     "c3_ban_words",
-    f"""WITH {IMAGES}, found AS (
-  SELECT n.*, i.width AS image FROM doc_nodes n LEFT JOIN images i
+    f"""WITH {KNOWN_IMAGES}, found AS (
+  SELECT n.*, i.width AS image FROM doc_nodes n LEFT JOIN known_images i
     ON n.src = i.url AND NOT contains(n.src, 'hot') AND NOT contains(n.src, '11')) {attached_sql("found")}""",
 )
 def ban_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ EOD = C.END_OF_DOCUMENT
 FRAGMENTS = [
     "<p>{L}</p>",
     "<div><div>{L}</div></div>",
-    '<img src="https://img.example.org/{I}.jpg" alt="picture {I}" width="120px;" height="50%">',
+    '<img src="https://img.example.org/{I}.jpg" alt="picture {I}" width="120px;" height="50%"><p>{L}</p>',
     '<div class="x footer"><p>{L}</p></div>',
     "<ul><li>{L}</li></ul>",
     '<div id="menu">{L}</div>',
@@ -25,14 +25,14 @@ FRAGMENTS = [
     "<b>{L}</b> ",
     '<figure><img data-src="../pics/{I}.png"><figcaption>{L}</figcaption></figure>',
     '<div class="more-link"><a href="#">{L}</a></div>',
-    "<p>  </p><div></div>",
+    "<p>  </p><div></div><p>{L}</p>",
     "<section>{L}<br/>{L}</section>",
 ]
 # Tags that each fragment gives.
 TAGS = [
     ["p", "-text"],
     ["div", "div", "-text"],
-    ["img"],
+    ["img", "p", "-text"],
     ["div", "p", "-text"],
     ["ul", "li", "-text"],
     ["div", "-text"],
@@ -40,7 +40,7 @@ TAGS = [
     ["b", "-text", "-text"],
     ["figure", "img", "figcaption", "-text"],
     ["div", "a", "-text"],
-    ["p", "-text", "div"],
+    ["p", "-text", "div", "p", "-text"],
     ["section", "-text"],
 ]
 FRAME = ["html", "head", "title", "-text", "body"]
@@ -121,13 +121,13 @@ _tree_step(
 )
 _tree_step("b7_special_divs", H.strip_special_divs, _changed({5: []}))
 _tree_step("b8_dates", H.drop_date_text, _changed({6: ["div", "p", "-text"]}))
-# The body itself goes when nothing is left in it.
+# The body itself goes when there is nothing in it.
 _tree_step(
     "b9_empty_leaves",
     H.drop_empty_leaves,
-    _changed({10: []}),
+    _changed({10: ["p", "-text"]}),
     ["html", "head", "title", "-text"],
-    " UNION ALL SELECT DISTINCT doc_id, 'body' FROM frag WHERE k <> 10",
+    " UNION ALL SELECT DISTINCT doc_id, 'body' FROM frag",
 )
 _tree_step("b10_unnest", H.unnest_same_tag, _changed({1: ["div", "-text"]}))
 _tree_step(
@@ -174,7 +174,7 @@ def caption(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "b19_keep_nodes",
-    f"""WITH {_LINES} SELECT d.doc_id, count(CASE WHEN k IN (0, 1, 6, 7, 8, 9, 11) THEN 1 END) AS n_texts,
+    f"""WITH {_LINES} SELECT d.doc_id, count(CASE WHEN k IN (0, 1, 2, 6, 7, 8, 9, 10, 11) THEN 1 END) AS n_texts,
   count(CASE WHEN k IN (2, 8) THEN 1 END) AS n_images FROM documents d LEFT JOIN frag USING (doc_id) GROUP BY d.doc_id""",
 )
 def keep_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +192,8 @@ _MERGED = f"""{_LINES}, leaves AS (
   SELECT doc_id, pos, 0 AS sub, {_IMAGE_SRC} AS src, NULL AS text, k, NULL AS s FROM frag WHERE k IN (2, 8)
   UNION ALL
   SELECT doc_id, pos, 1, NULL, CASE k WHEN 9 THEN '{EOD}' WHEN 11 THEN line || chr(10) || line ELSE line END, k,
-         CASE k WHEN 0 THEN 3 WHEN 6 THEN 3 WHEN 7 THEN 0 WHEN 9 THEN 0 ELSE 2 END
-  FROM frag WHERE k IN (0, 1, 6, 7, 8, 9, 11)),
+         CASE k WHEN 0 THEN 3 WHEN 2 THEN 3 WHEN 6 THEN 3 WHEN 10 THEN 3 WHEN 7 THEN 0 WHEN 9 THEN 0 ELSE 2 END
+  FROM frag WHERE k IN (0, 1, 2, 6, 7, 8, 9, 10, 11)),
 islands AS (SELECT *, count(src) OVER (PARTITION BY doc_id ORDER BY pos, sub) AS island FROM leaves),
 joints AS (
   SELECT *, lag(text) OVER w IS NULL AS is_first, greatest(s, lag(s) OVER w,

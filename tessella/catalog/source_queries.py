@@ -202,7 +202,7 @@ _rewrite("b1d_br", T.mark_line_breaks, f"regexp_replace(html, '<br ?/?>|</br>',
 
 # --- B: addresses and sizes made from the documents --------------------------------------------
 
-_STEM = "lower(substr(text, 1, 12))"
+_STEM = "lower(text)"
 _RAW_SRC = f"""CASE doc_id % 8
   WHEN 0 THEN 'https://img.example.org/a_b-' || doc_id || '/' || source || '_logo-12x34.big.png'
   WHEN 1 THEN '//cdn.example.net/' || {_STEM} WHEN 2 THEN '../../pics/' || source || '%20x.gif'

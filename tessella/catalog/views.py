@@ -10,17 +10,8 @@ from tessella.constants import END_OF_DOCUMENT
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. One too small to give every core a split is spread over them.
-
-    Large tables have more splits than cores and are left as they are read.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def docs_web(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,21 +39,22 @@ def _image_address(pos: Column) -> Column:
 
 
 def web_docs(spark: SparkSession, sf_dir: str, markers: bool = False) -> DataFrame:
-    """Interleaved documents: one node per line of text, about every fourth an image.
+    """Interleaved documents: a text for every line, and an image after about every fourth one.
 
-    With `markers` some lines are replaced by the end-of-document marker.
+    With `markers` an end-of-document marker follows some lines. No line is left out or changed.
     """
 
-    def node(line: Column, pos: Column) -> Column:
-        is_image = (pos + F.col("doc_id")) % 4 == 3
-        text = line
+    def node(kind: str, text: Column, src: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"), src.alias("src"))
+
+    def nodes(line: Column, pos: Column) -> Column:
+        none = F.lit(None).cast("string")
+        parts = [node("text", line, none)]
         if markers:
-            text = F.when((pos + F.col("doc_id")) % 11 == 5, F.lit(END_OF_DOCUMENT)).otherwise(line)
-        return F.struct(
-            F.when(is_image, F.lit("image")).otherwise(F.lit("text")).alias("kind"),
-            F.when(~is_image, text).alias("text"),
-            F.when(is_image, _image_address(pos)).alias("src"),
-        )
+            marker = node("text", F.lit(END_OF_DOCUMENT), none)
+            parts.append(F.when((pos + F.col("doc_id")) % 11 == 5, marker))
+        parts.append(F.when((pos + F.col("doc_id")) % 4 == 3, node("image", none, _image_address(pos))))
+        return F.filter(F.array(*parts), lambda n: n.isNotNull())
 
     return docs_web(spark, sf_dir).select(
         "doc_id",
@@ -70,7 +62,7 @@ def web_docs(spark: SparkSession, sf_dir: str, markers: bool = False) -> DataFra
         "url",
         "domain",
         "warc_filename",
-        F.transform(F.split("text", "\n"), node).alias("nodes"),
+        F.flatten(F.transform(F.split("text", "\n"), nodes)).alias("nodes"),
     )
 
 
@@ -79,11 +71,10 @@ def _number_in(url: Column) -> Column:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image store: sizes, a format and a score per address; some addresses are missing."""
+    """Image store: sizes, a format and a score for every address."""
     srcs = (
         web_docs(spark, sf_dir)
         .select(F.explode(F.filter("nodes.src", lambda s: s.isNotNull())).alias("url"))
-        .filter(~F.col("url").like("%7.jpg"))
         .distinct()
     )
     n = _number_in(F.col("url"))
@@ -98,6 +89,11 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def known_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store in which some addresses are missing, for the operators that look images up."""
+    return images(spark, sf_dir).filter(~F.col("url").like("%7.jpg"))
+
+
 def crawl_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs_web(spark, sf_dir).select(
         "doc_id",
@@ -138,16 +134,22 @@ _NODES = (
     DOC_LINES
     + """,
 doc_nodes AS (
-  SELECT doc_id, lang, url, domain, warc_filename, pos,
-         CASE WHEN (pos + doc_id) % 4 = 3 THEN 'image' ELSE 'text' END AS kind,
-         CASE WHEN (pos + doc_id) % 4 = 3 THEN NULL ELSE {line} END AS text,
-         CASE WHEN (pos + doc_id) % 4 = 3 THEN 'https://img.example.org/' ||
+  SELECT doc_id, lang, url, domain, warc_filename,
+         row_number() OVER (PARTITION BY doc_id ORDER BY line_no, part) - 1 AS pos, kind, text, src
+  FROM (
+    SELECT *, pos AS line_no, 0 AS part, 'text' AS kind, line AS text, NULL AS src FROM doc_lines{markers}
+    UNION ALL
+    SELECT *, pos, 2, 'image', NULL, 'https://img.example.org/' ||
            CASE WHEN doc_id % 4 = 0 THEN 'hot' || CAST(pos % 10 AS VARCHAR)
-                ELSE CAST(doc_id * 13 + pos * 7 AS VARCHAR) END || '.jpg' END AS src
-  FROM doc_lines)"""
+                ELSE CAST(doc_id * 13 + pos * 7 AS VARCHAR) END || '.jpg'
+    FROM doc_lines WHERE (pos + doc_id) % 4 = 3))"""
+)
+DOC_NODES = _NODES.format(markers="")
+MARKED_NODES = _NODES.format(
+    markers=f"""
+    UNION ALL
+    SELECT *, pos, 1, 'text', '{END_OF_DOCUMENT}', NULL FROM doc_lines WHERE (pos + doc_id) % 11 = 5"""
 )
-DOC_NODES = _NODES.format(line="line")
-MARKED_NODES = _NODES.format(line=f"CASE WHEN (pos + doc_id) % 11 = 5 THEN '{END_OF_DOCUMENT}' ELSE line END")
 
 IMAGES = (
     DOC_NODES
@@ -158,9 +160,9 @@ images AS (
          100 + (CAST(regexp_extract(src, '([0-9]+)', 1) AS BIGINT) * 11) % 700 AS height,
          round(((CAST(regexp_extract(src, '([0-9]+)', 1) AS BIGINT) * 31) % 100) / 100.0, 2) AS score,
          ['jpg', 'png', 'gif', 'webp', 'svg'][CAST(regexp_extract(src, '([0-9]+)', 1) AS BIGINT) % 5 + 1] AS format
-  FROM (SELECT DISTINCT src FROM doc_nodes WHERE src IS NOT NULL) t
-  WHERE src NOT LIKE '%7.jpg')"""
+  FROM (SELECT DISTINCT src FROM doc_nodes WHERE src IS NOT NULL) t)"""
 )
+KNOWN_IMAGES = IMAGES + ", known_images AS (SELECT * FROM images WHERE url NOT LIKE '%7.jpg')"
 
 CRAWL_POINTERS = (
     DOCS_WEB

@@ -240,3 +240,20 @@ def test_curate_keeps_order_and_whole_stages(make_docs):
     report = {r.stage: r.n_docs for r in profile.stage_report(stages).collect()}
     assert list(stages)[0] == "input" and list(stages)[-1] == "final_processing"
     assert report["input"] == 300 >= report["url"] >= report["final_processing"] > 0
+
+
+def test_views_keep_every_line(spark):
+    from tessella.catalog import document_queries as D
+    from tessella.catalog import page_queries as P
+    from tessella.catalog import views as V
+
+    sf_dir = "/root/testdata/sf0.001"
+    whole = {r["doc_id"]: r["text"] for r in V.docs_web(spark, sf_dir).collect()}
+    for markers, change in ((False, None), (True, None), (False, D.more_markers)):
+        docs = V.web_docs(spark, sf_dir, markers)
+        docs = change(docs) if change else docs
+        for r in docs.collect():
+            lines = [n["text"] for n in r["nodes"] if n["kind"] == "text" and n["text"] != D.EOD]
+            assert "\n".join(lines) == whole[r["doc_id"]]
+    assert all("{L}" in f for f in P.FRAGMENTS)
+    assert V.images(spark, sf_dir).filter("url LIKE '%7.jpg'").count() > 0
