@@ -179,6 +179,32 @@ def filter_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(filters.filter_paragraphs(docs, PARAGRAPHS, separator=LINE))
 
 
+@register(
+    "e15b_filter_with_images",
+    f"""WITH {IMAGES}, lines AS (
+  SELECT doc_id, pos, {S.clean("text")} AS text FROM doc_nodes WHERE kind = 'text'),{METRICS},
+kept AS (
+  SELECT doc_id, pos, text, NULL AS src FROM metrics WHERE {_PARAGRAPH_PASS}
+  UNION ALL SELECT n.doc_id, n.pos, NULL, n.src FROM doc_nodes n JOIN images i ON n.src = i.url
+  WHERE i.format IN ('jpg', 'jpeg', 'png', 'webp') AND i.width BETWEEN 150 AND 20000 AND i.height BETWEEN 150 AND 20000
+    AND i.width / i.height BETWEEN 0.5 AND 2)
+{rendered_sql("kept")}""",
+)
+def filter_with_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images carry their size and format, so that they are checked with the texts."""
+    facts = images(spark, sf_dir).select("url", F.struct("width", "height", "format").alias("facts"))
+    docs = store.attach_images(web_docs(spark, sf_dir), facts, "facts")
+    none = F.lit(None).cast("int")
+    meta = F.struct(*[none.alias(f"rendered_{s}_{u}") for s in ("width", "height") for u in ("px", "pct")])
+
+    def with_facts(n):
+        sized = {k: n["facts"][k] for k in ("width", "height", "format")}
+        return F.struct(n["kind"].alias("kind"), n["text"].alias("text"), n["src"].alias("src"), meta.alias("meta"), *[v.alias(k) for k, v in sized.items()])
+
+    docs = docs.withColumn("nodes", F.transform("nodes", with_facts))
+    return rendered(filters.filter_paragraphs(docs, PARAGRAPHS, ImageChecks(check_format=True, check_size=True), LINE))
+
+
 _JOINED = f"""{DOC_NODES}, joined AS (
   SELECT d.doc_id, coalesce(string_agg(n.text, chr(10) ORDER BY n.pos), '') AS text
   FROM documents d LEFT JOIN doc_nodes n ON n.doc_id = d.doc_id AND n.text <> '' GROUP BY d.doc_id)"""
@@ -284,22 +310,38 @@ def dedup_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(dedup.dedup_frequent_images(web_docs(spark, sf_dir)))
 
 
+# Some documents have no URL, some no file name.
+_HOLES = """holed AS (
+  SELECT doc_id, text, CASE WHEN doc_id % 17 <> 3 THEN url END AS url,
+         CASE WHEN doc_id % 19 <> 4 AND doc_id % 40 <> 0 THEN warc_filename END AS warc_filename FROM docs_web)"""
+
+
+def _holed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    return docs_web(spark, sf_dir).select(
+        "doc_id",
+        "text",
+        F.when(i % 17 != 3, F.col("url")).alias("url"),
+        F.when((i % 19 != 4) & (i % 40 != 0), F.col("warc_filename")).alias("warc_filename"),
+    )
+
+
 @register(
     "f3_dedup_url",
-    f"""WITH {DOCS_WEB} SELECT doc_id, url, warc_filename, text FROM docs_web
-QUALIFY warc_filename = max(warc_filename) OVER (PARTITION BY url)""",
+    f"""WITH {DOCS_WEB}, {_HOLES} SELECT doc_id, url, warc_filename, text FROM holed
+QUALIFY url IS NULL OR warc_filename IS NOT DISTINCT FROM max(warc_filename) OVER (PARTITION BY url)""",
 )
 def dedup_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.dedup_by_url(docs_web(spark, sf_dir)).select("doc_id", "url", "warc_filename", "text")
+    return dedup.dedup_by_url(_holed(spark, sf_dir)).select("doc_id", "url", "warc_filename", "text")
 
 
 @register(
     "f3b_dedup_url_strict",
-    f"""WITH {DOCS_WEB} SELECT doc_id, url, warc_filename, text FROM docs_web
-QUALIFY row_number() OVER (PARTITION BY url ORDER BY warc_filename DESC, doc_id DESC) = 1""",
+    f"""WITH {DOCS_WEB}, {_HOLES} SELECT doc_id, url, warc_filename, text FROM holed
+QUALIFY url IS NULL OR row_number() OVER (PARTITION BY url ORDER BY warc_filename DESC NULLS LAST, doc_id DESC) = 1""",
 )
 def dedup_url_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = docs_web(spark, sf_dir)
+    docs = _holed(spark, sf_dir)
     return dedup.dedup_by_url(docs, strict=True).select("doc_id", "url", "warc_filename", "text")
 
 
@@ -597,18 +639,38 @@ def top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.top_by_score(images(spark, sf_dir).select("url", "score"), "score", 50, "url")
 
 
-@register("h6_sample")
+@register("h6_sample", "SELECT doc_id, text FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50")
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.sample_docs(table(spark, sf_dir, "documents").select("doc_id", "text"), 50, seed=42)
 
 
 @register(
     "h7_domains",
-    f"""WITH {DOCS_WEB} SELECT domain, count(*) AS n_docs, min(doc_id) AS first_doc_id, max(doc_id) AS last_doc_id
-FROM docs_web GROUP BY domain""",
+    f"""WITH {DOC_NODES} SELECT domain, count(DISTINCT doc_id) AS n_docs, min(doc_id) AS first_doc_id,
+  max(doc_id) AS last_doc_id, count(src) AS n_images, count(CASE WHEN text <> '' THEN 1 END) AS n_texts
+FROM doc_nodes GROUP BY domain""",
 )
 def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.domain_counts(docs_web(spark, sf_dir))
+    return profile.domain_counts(web_docs(spark, sf_dir))
+
+
+@register("h7b_domain_positions", f"WITH {DOCS_WEB} SELECT domain, doc_id FROM docs_web")
+def domain_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.domain_positions(docs_web(spark, sf_dir))
+
+
+@register("h3b_paragraph_profile", f"WITH {LINES},{METRICS} SELECT doc_id, pos AS node, n_words, {_PROFILE_COLUMNS} FROM metrics")
+def paragraph_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = replace(PARAGRAPHS, char_repetition_length=10, word_repetition_length=4)
+    return profile.metric_profile(web_docs(spark, sf_dir), checks, "paragraph", LINE).drop("par")
+
+
+@register(
+    "h3c_image_profile",
+    f"WITH {IMAGES} SELECT url, width, height, round(width / height, 2) AS aspect_ratio FROM images",
+)
+def image_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.image_profile(images(spark, sf_dir))
 
 
 # --- C and the document sinks -----------------------------------------------------------------------
@@ -666,14 +728,16 @@ def ban_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "c4_merge_images",
-    f"""WITH {IMAGES} SELECT url, CASE WHEN height % 3 = 0 THEN height ELSE width END AS image FROM images
-WHERE width % 2 = 0 OR height % 3 = 0""",
+    f"""WITH {IMAGES} SELECT url, CASE WHEN height % 3 = 0 THEN height + 1 ELSE width END AS image,
+  CASE WHEN height % 3 = 0 THEN 2 ELSE 1 END AS place FROM images WHERE width % 2 = 0 OR height % 3 = 0""",
 )
 def merge_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = images(spark, sf_dir)
-    first = base.filter(F.col("width") % 2 == 0).select("url", F.col("width").alias("image"))
-    second = base.filter(F.col("height") % 3 == 0).select("url", F.col("height").alias("image"))
-    return store.merge_image_sets(first, second)
+    first = base.filter(F.col("width") % 2 == 0).select("url", F.col("width").alias("image"), F.lit(1).alias("place"))
+    second = base.filter(F.col("height") % 3 == 0).select("url", F.col("height").alias("image"), F.lit(1).alias("place"))
+    # The second store has every address twice; the later entry counts.
+    again = second.select("url", (F.col("image") + 1).alias("image"), F.lit(2).alias("place"))
+    return store.merge_image_sets(first, again.unionByName(second), "place")
 
 
 @register(

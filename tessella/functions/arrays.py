@@ -42,3 +42,31 @@ def repeated(sorted_values: Column) -> Column:
 
 def int_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+
+
+def edited(
+    items: Column, edits: Column, at: Callable[[Column], Column], change: Callable[[Column, Column], Column]
+) -> Column:
+    """The array with some items replaced, each by an array, in one pass over both.
+
+    `edits` is sorted by the position `at` gives, without repeats; `change` gets the item and
+    its edit. What lies between two edits is taken over as a slice.
+    """
+    nothing = F.slice(items, 1, 0)
+
+    def pieces(e: Column) -> Column:
+        def piece(j: Column) -> Column:
+            last = F.coalesce(at(F.get(e, j - 1)), F.lit(-1))
+            here = F.coalesce(at(F.get(e, j)), F.size(items))
+            between = F.slice(items, last + 2, F.greatest(here - last - 1, F.lit(0)))
+            new = F.when(j < F.size(e), change(F.get(items, here), F.get(e, j))).otherwise(nothing)
+            return F.concat(between, new)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(e)), piece))
+
+    return let(edits, pieces)
+
+
+def without(items: Column, positions: Column) -> Column:
+    """The array without the items at these positions (sorted, without repeats)."""
+    return edited(items, positions, lambda p: p, lambda item, p: F.slice(items, 1, 0))

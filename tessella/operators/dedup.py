@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.constants import END_OF_DOCUMENT, FREQUENT_IMAGE_CUTOFF, PARAGRAPH_SEPARATOR
-from tessella.functions.arrays import let
+from tessella.functions.arrays import let, without
 from tessella.functions.similarity import later_similar
 from tessella.operators.nodes import (
     drop_nodes,
@@ -52,10 +52,7 @@ def dedup_images_in_doc(nodes: Column) -> Column:
             F.filter(pairs, lambda p, k: (k > 0) & (p["src"] == F.get(pairs, k - 1)["src"])), lambda p: p["i"]
         )
         return let(
-            repeats,
-            lambda drop: F.when(F.size(drop) == 0, nodes).otherwise(
-                F.filter(nodes, lambda n, i: ~F.array_contains(drop, i))
-            ),
+            F.array_sort(repeats), lambda drop: F.when(F.size(drop) == 0, nodes).otherwise(without(nodes, drop))
         )
 
     pairs = F.filter(
@@ -73,16 +70,19 @@ def dedup_by_url(
 ) -> DataFrame:
     """Keep, of the documents of one URL, those of the greatest archive file name.
 
-    Documents of the same URL and file all stay, unless `strict`; then the one with
-    the greatest id does.
+    Documents of the same URL and file all stay, unless `strict`; then the one with the
+    greatest id does. A missing file name is less than any other. Documents without a
+    URL all stay. Only ids and keys are grouped and joined; the losers are taken off
+    the documents by id.
     """
-    if strict:
-        best = docs.groupBy("url").agg(F.max(F.struct("warc_filename", "doc_id"))["doc_id"].alias("doc_id"))
-        return docs.join(best.select("doc_id"), "doc_id", "left_semi")
-    best = docs.groupBy("url").agg(F.max("warc_filename").alias("_newest"), F.count(F.lit(1)).alias("n"))
+    keyed = docs.select("doc_id", "url", "warc_filename").filter(F.col("url").isNotNull())
+    best = keyed.groupBy("url").agg(
+        F.max(F.struct("warc_filename", "doc_id")).alias("_best"), F.count(F.lit(1)).alias("n")
+    )
     hot = hot_keys(best, ["url"], share=share, min_rows=min_rows)
-    joined = salted_join(docs, best.drop("n"), ["url"], hot, ["doc_id"])
-    return joined.filter(F.col("warc_filename") == F.col("_newest")).select(*docs.columns)
+    joined = salted_join(keyed, best.filter("n > 1").drop("n"), ["url"], hot, ["doc_id"])
+    stays = F.col("doc_id") == F.col("_best.doc_id") if strict else F.col("warc_filename").eqNullSafe(F.col("_best.warc_filename"))
+    return docs.join(joined.filter(~stays).select("doc_id"), "doc_id", "left_anti")
 
 
 def _group_stats(counts: DataFrame, groups: str, total: str, repeated: str) -> DataFrame:
@@ -106,19 +106,21 @@ def image_set_signature(nodes: Column) -> Column:
     return F.when(F.size(srcs) > 0, F.sha2(F.array_join(srcs, "\n"), 256))
 
 
-def dedup_by_image_set(docs: DataFrame) -> DataFrame:
+def dedup_by_image_set(docs: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
     """Keep, of the documents with the same set of images, the last one.
 
-    Last is by archive file name, then by id. Documents without images all stay. Only
-    ids and digests are grouped, with partial maxima; the documents are joined by id.
+    Last is by archive file name, then by id. Documents without images, or without
+    nodes at all, stay. Only ids and digests are grouped, with partial maxima; the
+    losers are taken off the documents by id.
     """
     signed = docs.select("doc_id", "warc_filename", image_set_signature(F.col("nodes")).alias("sig"))
-    last = signed.filter(F.col("sig").isNotNull()).groupBy("sig").agg(
-        F.max(F.struct("warc_filename", "doc_id"))["doc_id"].alias("doc_id")
+    signed = signed.filter(F.col("sig").isNotNull())
+    last = signed.groupBy("sig").agg(
+        F.max(F.struct("warc_filename", "doc_id"))["doc_id"].alias("_last"), F.count(F.lit(1)).alias("n")
     )
-    without = F.size(image_srcs(F.col("nodes"))) == 0
-    kept = docs.filter(~without).join(last.select("doc_id"), "doc_id", "left_semi")
-    return kept.unionByName(docs.filter(without))
+    hot = hot_keys(last, ["sig"], share=share, min_rows=min_rows)
+    joined = salted_join(signed.select("doc_id", "sig"), last.filter("n > 1").drop("n"), ["sig"], hot, ["doc_id"])
+    return docs.join(joined.filter(F.col("doc_id") != F.col("_last")).select("doc_id"), "doc_id", "left_anti")
 
 
 def image_set_stats(docs: DataFrame) -> DataFrame:

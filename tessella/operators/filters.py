@@ -52,10 +52,12 @@ def valid_size(
 
 def unsafe_urls(scores: DataFrame, cutoffs: dict[str, float] = UNSAFE_SCORE_CUTOFFS) -> DataFrame:
     """Addresses with any score above its cutoff. `scores` has url and one column per label."""
+    unknown = set(cutoffs) - set(scores.columns)
+    if unknown:
+        raise ValueError(f"the score table has no columns {sorted(unknown)}")
     unsafe = F.lit(False)
     for label, cutoff in cutoffs.items():
-        if label in scores.columns:
-            unsafe = unsafe | (F.col(label) > cutoff)
+        unsafe = unsafe | (F.col(label) > cutoff)
     return scores.filter(unsafe).select("url").distinct()
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.constants import BANNED_URL_WORDS
+from tessella.functions.arrays import edited, let
 from tessella.operators.nodes import image_refs
 from tessella.operators.skew import HOT_MIN_ROWS, HOT_SHARE, count_rows, hot_keys, salted_join
 
@@ -51,35 +52,48 @@ def attach_images(
                 "nodes",
                 lambda n, i: F.struct(i.alias("pos"), n["src"].alias("src"), n[payload].isNull().alias("todo")),
             ),
-            lambda r: r["todo"] & r["src"].isNotNull(),
+            lambda r: r["todo"] & r["src"].isNotNull() & (r["src"] != ""),
         )
         refs = docs.select("doc_id", F.inline(wanted)).drop("todo")
     if banned_words is not None:
         refs = refs.filter(~has_banned_word(F.col("src"), banned_words))
     found = find_images(refs, images.select("url", payload), share, min_rows).filter(F.col(payload).isNotNull())
-    per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("pos", payload)).alias("_found"))
-
-    def filled(n: Column, i: Column) -> Column:
-        hit = F.get(F.filter(F.col("_found"), lambda f: f["pos"] == i), F.lit(0))[payload]
-        return n.withField(payload, F.coalesce(n[payload], hit) if again else hit)
+    hits = F.array_sort(F.collect_list(F.struct("pos", payload)))
+    per_doc = found.groupBy("doc_id").agg(hits.alias("_found"))
+    nodes = F.col("nodes")
+    if not again:
+        missing = F.lit(None).cast(images.schema[payload].dataType)
+        nodes = F.transform("nodes", lambda n: n.withField(payload, missing))
+    once = let(F.col("_found"), lambda f: F.filter(f, lambda x, i: (i == 0) | (x["pos"] != F.get(f, i - 1)["pos"])))
+    filled = edited(nodes, once, lambda f: f["pos"], lambda n, f: F.array(n.withField(payload, f[payload])))
 
     n_urls = F.size(F.filter("nodes", lambda n: n["src"].isNotNull() & (n["src"] != "")))
     n_found = F.size(F.filter("nodes", lambda n: n[payload].isNotNull()))
     return (
         docs.join(per_doc, "doc_id", "left")
-        .withColumn("nodes", F.transform("nodes", filled))
+        .withColumn("nodes", F.when(F.col("_found").isNull(), nodes).otherwise(filled))
         .drop("_found")
         .withColumn("num_found", n_found)
         .withColumn("num_not_found", n_urls - F.col("num_found"))
     )
 
 
-def merge_image_sets(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Two image stores as one; the second wins where both know an address.
+def merge_image_sets(first: DataFrame, second: DataFrame, order: str | None = None) -> DataFrame:
+    """Two image stores as one with every address once; the second wins where both know it.
 
-    Done by an anti-join on the addresses, so no payload goes through an aggregate.
+    Of repeats inside one store the last by `order` wins, and without it, or between
+    equal places, the last by a hash of the row. The winner is found on keys alone and
+    its payload joined afterwards.
     """
-    return first.join(second.select("url"), "url", "left_anti").unionByName(second)
+    place = F.lit(0) if order is None else F.col(order)
+    both = [
+        images.withColumn("_key", F.struct(F.lit(k).alias("store"), place.alias("place"), F.xxhash64(*images.columns).alias("row")))
+        for k, images in enumerate((first, second))
+    ]
+    every = both[0].unionByName(both[1])
+    winners = every.select("url", "_key").groupBy("url").agg(F.max("_key").alias("_key"))
+    # Rows that agree in the whole key are the same row; the join has dealt them by url already.
+    return every.join(winners, ["url", "_key"]).drop("_key").dropDuplicates(["url"])
 
 
 def restrict_image_store(images: DataFrame, keep: DataFrame, drop: DataFrame) -> DataFrame:

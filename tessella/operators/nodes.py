@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.constants import PARAGRAPH_SEPARATOR
-from tessella.functions.arrays import let
+from tessella.functions.arrays import edited, let, without
 
 IMAGE, TEXT = "image", "text"
 
@@ -92,11 +92,10 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def drop_nodes(docs: DataFrame, drops: DataFrame) -> DataFrame:
     """Documents without the nodes listed in `drops` (doc_id, pos)."""
-    per_doc = drops.groupBy("doc_id").agg(F.collect_set("pos").alias("_drop"))
-    kept = F.filter("nodes", lambda n, i: ~F.array_contains("_drop", i))
+    per_doc = drops.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("_drop"))
     return (
         docs.join(per_doc, "doc_id", "left")
-        .withColumn("nodes", F.when(F.col("_drop").isNull(), F.col("nodes")).otherwise(kept))
+        .withColumn("nodes", F.when(F.col("_drop").isNull(), F.col("nodes")).otherwise(without(F.col("nodes"), F.col("_drop"))))
         .drop("_drop")
     )
 
@@ -108,17 +107,14 @@ def drop_paragraphs(
 
     A text with no paragraph left becomes '', or its node goes with `drop_empty`.
     """
-    per_doc = drops.groupBy("doc_id").agg(F.collect_set(F.struct("node", "par")).alias("_drop"))
+    per_node = drops.groupBy("doc_id", "node").agg(F.array_sort(F.collect_set("par")).alias("pars"))
+    per_doc = per_node.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("node", "pars"))).alias("_drop"))
 
-    def cut(n: Column, i: Column) -> Column:
-        def without(pars: Column) -> Column:
-            kept = F.filter(F.split(n["text"], separator), lambda p, j: ~F.array_contains(pars, j))
-            return F.when(F.size(pars) == 0, n).otherwise(n.withField("text", F.array_join(kept, separator)))
+    def cut(n: Column, d: Column) -> Column:
+        text = let(F.split(n["text"], separator), lambda pars: F.array_join(without(pars, d["pars"]), separator))
+        return F.array(F.when(n["text"].isNull(), n).otherwise(n.withField("text", text)))
 
-        here = F.filter(F.col("_drop"), lambda d: d["node"] == i)["par"]
-        return F.when(n["text"].isNull(), n).otherwise(let(here, without))
-
-    nodes = F.transform("nodes", cut)
+    nodes = edited(F.col("nodes"), F.col("_drop"), lambda d: d["node"], cut)
     if drop_empty:
         nodes = F.filter(nodes, lambda n: ~(is_text(n) & (n["text"] == "")))
     return (

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tessella.constants import PARAGRAPH_SEPARATOR
 from tessella.functions import metrics as M
 from tessella.functions import text as T
-from tessella.operators.nodes import full_text, image_srcs, paragraph_table
+from tessella.operators.nodes import full_text, image_srcs, paragraph_table, texts
+from tessella.operators.ordinals import with_running_sum
 from tessella.operators.skew import count_rows
 from tessella.plans.options import TextChecks
 
@@ -58,15 +59,10 @@ def trimmed_histogram(
     """(bin, bin_start, n): equal-width bins over the values between two shares of the rows.
 
     Rows are counted per value first; rows of equal value are interchangeable, so the
-    ordinals to cut off follow from running counts over the distinct values. With a
-    metric rounded to two decimals these are few, whatever the number of rows.
+    ordinals to cut off follow from running counts over the distinct values.
     """
     counts = count_rows(values.select(F.col(metric).alias("value")).filter(F.col("value").isNotNull()), ["value"])
-    running = counts.select(
-        "value",
-        "n",
-        F.sum("n").over(Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-    )
+    running = with_running_sum(counts, "value", "n", "upto")
     total = counts.agg(F.sum("n").alias("t")).scalar()
     first, last = F.floor(total * F.lit(low)), F.floor(total * F.lit(high))
     inside = F.least("upto", last) - F.greatest(F.col("upto") - F.col("n"), first)
@@ -88,7 +84,7 @@ def top_by_score(rows: DataFrame, score: str, n: int, tie: str) -> DataFrame:
 
 def sample_docs(docs: DataFrame, n: int, seed: int = 0, key: str = "doc_id") -> DataFrame:
     """n documents in a random order that depends only on the seed and the keys."""
-    return docs.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    return docs.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 
 
 def domain_positions(docs: DataFrame) -> DataFrame:
@@ -97,12 +93,15 @@ def domain_positions(docs: DataFrame) -> DataFrame:
 
 
 def domain_counts(docs: DataFrame) -> DataFrame:
-    """Documents, texts and images per domain."""
-    return docs.groupBy("domain").agg(
+    """Documents per domain with the first and last id; texts and images too if there are nodes."""
+    counted = [
         F.count(F.lit(1)).alias("n_docs"),
         F.min("doc_id").alias("first_doc_id"),
         F.max("doc_id").alias("last_doc_id"),
-    )
+    ]
+    if "nodes" in docs.columns:
+        counted += [F.sum(F.size(image_srcs(F.col("nodes")))).alias("n_images"), F.sum(F.size(texts(F.col("nodes")))).alias("n_texts")]
+    return docs.groupBy("domain").agg(*counted)
 
 
 def stage_counts(docs: DataFrame, stage: str) -> DataFrame:

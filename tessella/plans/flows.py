@@ -35,12 +35,19 @@ def pages_to_documents(pages: DataFrame) -> DataFrame:
 
 
 def failed_by_models(texts: DataFrame, ids: list[str], text: str, checks: TextChecks, models: Models) -> DataFrame:
-    """(ids) of the texts that fail the language or the perplexity check."""
+    """(ids) of the texts that fail the language or the perplexity check.
+
+    A check with a bound needs its model; `checks.without_models()` leaves both out.
+    """
+    if checks.min_language_score is not None and models.language is None:
+        raise ValueError("the language check has a bound and no model")
+    if checks.max_perplexity is not None and models.perplexity is None:
+        raise ValueError("the perplexity check has a bound and no model")
     failed = texts.select(*ids).limit(0)
-    if checks.min_language_score is not None and models.language is not None:
+    if checks.min_language_score is not None:
         wrong = (F.col("lang_pred") != checks.language) | (F.col("lang_score") < checks.min_language_score)
         failed = failed.unionByName(identify_language(texts, models.language, ids, text).filter(wrong).select(*ids))
-    if checks.max_perplexity is not None and models.perplexity is not None:
+    if checks.max_perplexity is not None:
         high = F.col("perplexity") > checks.max_perplexity
         failed = failed.unionByName(perplexity(texts, models.perplexity, ids, text).filter(high).select(*ids))
     return failed.distinct()
@@ -58,7 +65,7 @@ def filter_corpus(
 ) -> DataFrame:
     """Paragraph checks, similar texts, document checks; the checks with models come last at each level."""
     docs = filters.filter_paragraphs(docs, paragraph_checks, image_checks, separator)
-    if models.language is not None or models.perplexity is not None:
+    if paragraph_checks != paragraph_checks.without_models():
         docs = cut(docs)
         pars = paragraph_table(docs, separator=separator).filter(F.col("paragraph") != END_OF_DOCUMENT)
         failed = failed_by_models(pars, ["doc_id", "node", "par"], "paragraph", paragraph_checks, models)
@@ -66,7 +73,7 @@ def filter_corpus(
     if similarity is not None:
         docs = dedup.dedup_similar_nodes(cut(docs), similarity)
     docs = filters.filter_documents(docs, document_checks, image_checks, separator)
-    if models.language is not None or models.perplexity is not None:
+    if document_checks != document_checks.without_models():
         docs = cut(docs)
         texts = docs.select("doc_id", full_text(F.col("nodes"), separator).alias("text"))
         docs = docs.join(failed_by_models(texts, ["doc_id"], "text", document_checks, models), "doc_id", "left_anti")

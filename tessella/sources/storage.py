@@ -1,28 +1,31 @@
 """Where intermediate tables live."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one on a local master only."""
+    """The folder that all executors share, as the cluster names it."""
     sc = spark.sparkContext
     known = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not known:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        known = tempfile.mkdtemp(prefix="tessella-checkpoint-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(known)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return known
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialize a table that is used several times, in reliable storage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Materialize a table that is used several times, as Parquet in the shared folder.
+
+    Later reads take only the columns they need. The files go when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tessella-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.parquet(path)
 
 
 # Tables up to this many rows, of bounded width, may be sent to every executor.

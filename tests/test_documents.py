@@ -257,3 +257,60 @@ def test_views_keep_every_line(spark):
             assert "\n".join(lines) == whole[r["doc_id"]]
     assert all("{L}" in f for f in P.FRAGMENTS)
     assert V.images(spark, sf_dir).filter("url LIKE '%7.jpg'").count() > 0
+
+
+def test_rows_without_keys_stay(spark):
+    schema = "doc_id long, url string, warc_filename string"
+    rows = [(1, None, "a"), (2, "u", "a"), (3, "u", None), (4, "v", None), (5, "w", "b"), (6, "w", "b"), (None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = lambda df: sorted((r["doc_id"] for r in df.collect()), key=str)
+    assert kept(dedup.dedup_by_url(docs)) == [1, 2, 4, 5, 6, None]
+    assert kept(dedup.dedup_by_url(docs, strict=True)) == [1, 2, 4, 6, None]
+    node = "array<struct<kind string, text string, src string>>"
+    image = [("image", None, "x")]
+    docs = spark.createDataFrame(
+        [(1, "a", None), (2, "a", image), (3, "b", image), (4, "c", [("text", "t", None)]), (5, None, image)],
+        f"doc_id long, warc_filename string, nodes {node}",
+    )
+    assert kept(dedup.dedup_by_image_set(docs)) == [1, 3, 4]
+
+
+def test_image_sets_have_every_address_once(spark):
+    from tessella.operators import images as I
+
+    first = spark.createDataFrame([("x", "1"), ("y", "2"), ("y", "2")], "url string, image string")
+    second = spark.createDataFrame([("y", "3"), ("y", "4"), ("z", "5")], "url string, image string")
+    found = I.merge_image_sets(first, second).collect()
+    assert sorted(r["url"] for r in found) == ["x", "y", "z"]
+    assert next(r["image"] for r in found if r["url"] == "y") in ("3", "4")
+
+
+def test_missing_scores_and_models_are_errors(spark, make_docs):
+    from tessella.operators import filters
+    from tessella.plans import flows
+
+    with pytest.raises(ValueError, match="no columns"):
+        filters.unsafe_urls(spark.createDataFrame([("x", 0.9)], "url string, nsfw double"), {"porn": 0.5})
+    docs = make_docs([(1, "https://a.org/1", "w", ["a b c d"])])
+    with pytest.raises(ValueError, match="no model"):
+        flows.filter_corpus(docs)
+
+
+def test_a_document_of_many_nodes_is_edited_in_one_pass(spark):
+    import time
+
+    from tessella.operators import nodes as N
+
+    n = 50_000
+    docs = spark.range(1).selectExpr(
+        "id AS doc_id",
+        f"transform(sequence(0, {n - 1}), i -> named_struct('kind', 'text', 'text', concat('t', i, '\\n\\nu'), 'src', cast(null as string))) AS nodes",
+    )
+    drops = spark.range(0, n, 2).selectExpr("cast(0 as bigint) AS doc_id", "cast(id as int) AS pos")
+    started = time.time()
+    kept = N.drop_nodes(docs, drops).select("nodes.text").first()[0]
+    assert [t.split()[0] for t in kept] == [f"t{i}" for i in range(1, n, 2)]
+    pars = drops.selectExpr("doc_id", "pos AS node", "cast(0 as int) AS par")
+    cut = N.drop_paragraphs(docs, pars).select("nodes.text").first()[0]
+    assert cut == ["u" if i % 2 == 0 else f"t{i}\n\nu" for i in range(n)]
+    assert time.time() - started < 60

@@ -53,10 +53,10 @@ def test_shards(spark):
     assert [s for _, _, s in got] == ["valid"] * 4 + ["train"] * 3
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 1000])
-def test_ordinals(spark, buckets):
+@pytest.mark.parametrize("rows_per_piece", [2, 7, 1000])
+def test_ordinals(spark, rows_per_piece):
     df = spark.range(500).select((F.col("id") * F.col("id") - 90).alias("k")).repartition(6)
-    got = with_ordinal(df, "k", buckets=buckets).orderBy("k").collect()
+    got = with_ordinal(df, "k", rows_per_piece=rows_per_piece).orderBy("k").collect()
     assert [r.ordinal for r in got] == list(range(500))
     assert with_ordinal(df.limit(0), "k").count() == 0
 
