@@ -26,7 +26,7 @@ from tessella.functions import text as T
 from tessella.operators import cleanup, dedup, filters, profile
 from tessella.operators import images as store
 from tessella.operators.nodes import full_text, paragraph_table, render
-from tessella.plans.options import DOCUMENT_CHECKS, PARAGRAPH_CHECKS, ImageChecks
+from tessella.plans.options import DOCUMENT_CHECKS, PARAGRAPH_CHECKS, ImageChecks, from_configuration
 
 # The lines of the driver documents are their paragraphs.
 LINE = "\n"
@@ -179,6 +179,42 @@ def filter_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(filters.filter_paragraphs(docs, PARAGRAPHS, separator=LINE))
 
 
+CONFIGURATION = {
+    "cond_check_number_words_node_level": True,
+    "number_words_node_level_min_cutoff": 3,
+    "number_words_node_level_max_cutoff": "None",
+    "cond_check_character_repetition_ratio_node_level": True,
+    "character_repetition_length_node_level": 10,
+    "character_repetition_node_level_max_cutoff": 0.2,
+    "cond_check_word_repetition_ratio_node_level": True,
+    "word_repetition_length_node_level": 4,
+    "word_repetition_node_level_max_cutoff": 0.25,
+    "cond_check_special_character_ratio_node_level": True,
+    "special_character_ratio_node_level_max_cutoff": 0.25,
+    "cond_check_stopword_ratio_node_level": False,
+    "stopword_ratio_node_level_min_cutoff": 0.16,
+    "cond_check_flagged_word_ratio_node_level": True,
+    "flagged_word_ratio_node_level_max_cutoff": 0.01,
+    "min_number_words_to_check_punctuation_ratio_node_level": 10,
+    "cond_check_lang_id_node_level": False,
+    "lang_id_node_level_min_cutoff": 0.5,
+}
+
+
+@register(
+    "a12_configured_filter",
+    f"""WITH {MARKED_NODES}, lines AS (
+  SELECT doc_id, pos, {S.clean("text")} AS text FROM doc_nodes WHERE kind = 'text'),{METRICS},
+kept AS (
+  SELECT doc_id, pos, text, NULL AS src FROM metrics WHERE text = '{EOD}' OR ({_PARAGRAPH_PASS})
+  UNION ALL SELECT doc_id, pos, NULL, src FROM doc_nodes WHERE kind = 'image')
+{rendered_sql("kept")}""",
+)
+def configured_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = from_configuration(CONFIGURATION, **LISTS)
+    return rendered(filters.filter_paragraphs(web_docs(spark, sf_dir, markers=True), checks.paragraphs, checks.images, LINE))
+
+
 @register(
     "e15b_filter_with_images",
     f"""WITH {IMAGES}, lines AS (
@@ -588,7 +624,8 @@ def url_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STAGE = """SELECT '{name}' AS stage, count(DISTINCT doc_id) AS n_docs, count(src) AS n_images,
-  count(CASE WHEN text <> '' THEN 1 END) AS n_texts FROM {source}"""
+  count(CASE WHEN text <> '' THEN 1 END) AS n_texts,
+  count(CASE WHEN text IS NULL AND src IS NULL THEN 1 END) AS n_rejected FROM {source}"""
 
 
 @register(

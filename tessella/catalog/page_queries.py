@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessella import constants as C
 from tessella.catalog import sql as S
 from tessella.catalog.registry import register
-from tessella.catalog.views import DOC_LINES, docs_web, table
+from tessella.catalog.views import DOC_LINES, DOCS_WEB, docs_web, table
 from tessella.operators import html as H
 from tessella.sources.dom import build_dom_nodes, dom_nodes
 
@@ -163,6 +163,31 @@ def media_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _image_rows(spark, sf_dir).select("doc_id", *[F.col(f"n.meta.{c}").alias(c) for c in columns])
 
 
+# A video with its own size, one that takes the address of its first source, and an audio.
+_FILMS = (
+    '<video width="640" height="360" src="../v/{I}.mp4"></video>'
+    '<video><source src=""><source src="https://v.example.org/{I}.webm"></video>'
+    '<audio src="//a.example.net/{I}.mp3"></audio><audio></audio>{L}'
+)
+
+
+@register(
+    "b17b_video_audio",
+    f"""WITH {DOCS_WEB}, hosts AS (SELECT doc_id, url, regexp_extract(url, '^https://[^/]*') AS host FROM docs_web)
+SELECT doc_id, 'video' AS tag, url AS document_url, host || '/v/' || doc_id || '.mp4' AS src, '640' AS width, '360' AS height
+FROM hosts UNION ALL
+SELECT doc_id, 'video', url, 'https://v.example.org/' || doc_id || '.webm', NULL, NULL FROM hosts UNION ALL
+SELECT doc_id, 'audio', url, 'http://a.example.net/' || doc_id || '.mp3', NULL, NULL FROM hosts""",
+)
+def video_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = F.replace(F.replace(F.lit(_FILMS), F.lit("{L}"), _escaped(F.col("text"))), F.lit("{I}"), F.col("doc_id").cast("string"))
+    pages = docs_web(spark, sf_dir).select("doc_id", "url", html.alias("html"))
+    nodes = build_dom_nodes(pages).select("doc_id", "url", "nodes", F.explode("nodes").alias("n"))
+    record = H.media_record(F.col("n"), F.col("url"), F.col("nodes"))
+    found = nodes.filter(F.col("n.tag").isin("video", "audio")).select("doc_id", record.alias("r")).filter("r IS NOT NULL")
+    return found.select("doc_id", *[F.col(f"r.{c}").alias(c) for c in ("tag", "document_url", "src", "width", "height")])
+
+
 @register(
     "b18_caption",
     f"""WITH {_LINES} SELECT doc_id, {_IMAGE_SRC} AS src, CASE k WHEN 8 THEN line ELSE 'picture ' || img END AS caption

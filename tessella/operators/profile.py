@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessella.constants import PARAGRAPH_SEPARATOR
 from tessella.functions import metrics as M
 from tessella.functions import text as T
+from tessella.operators.cleanup import reject_count
 from tessella.operators.nodes import full_text, image_srcs, paragraph_table, texts
 from tessella.operators.ordinals import with_running_sum
 from tessella.operators.skew import count_rows
@@ -105,14 +106,15 @@ def domain_counts(docs: DataFrame) -> DataFrame:
 
 
 def stage_counts(docs: DataFrame, stage: str) -> DataFrame:
-    """Documents, image nodes and text nodes after a stage."""
+    """Documents, image nodes, text nodes and nodes that hold neither after a stage."""
     return docs.agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.coalesce(F.sum(F.size(image_srcs(F.col("nodes")))), F.lit(0)).alias("n_images"),
         F.coalesce(
             F.sum(F.size(F.filter("nodes", lambda n: n["text"].isNotNull() & (n["text"] != "")))), F.lit(0)
         ).alias("n_texts"),
-    ).select(F.lit(stage).alias("stage"), "n_docs", "n_images", "n_texts")
+        F.coalesce(F.sum(reject_count(F.col("nodes"))), F.lit(0)).alias("n_rejected"),
+    ).select(F.lit(stage).alias("stage"), "n_docs", "n_images", "n_texts", "n_rejected")
 
 
 def stage_report(stages: dict[str, DataFrame]) -> DataFrame:

@@ -132,6 +132,10 @@ class _NodeRows(HTMLParser):
             self._row("-text", {}, data)
 
 
+# Characters of pages whose nodes a task holds at once.
+BATCH_CHARS = 1 << 20
+
+
 def parse_nodes(html: str) -> list[dict]:
     """Node rows of one page: its elements and text leaves with their paths."""
     parser = _NodeRows()
@@ -155,8 +159,9 @@ def build_dom_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pages_nodes, errors = [], []
-            for page in batch.column(html).to_pylist():
+            pages_nodes, errors, start, size = [], [], 0, 0
+            for row, page in enumerate(batch.column(html)):
+                page = page.as_py()
                 nodes, error = [], ""
                 try:
                     if page:
@@ -167,10 +172,15 @@ def build_dom_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
                     nodes, error = [], repr(failure)
                 pages_nodes.append(nodes)
                 errors.append(error)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(pages_nodes, nodes_type), pa.array(errors, pa.string())],
-                names=[*names, "nodes", "dom_error"],
-            )
+                size += len(page or "")
+                if size >= BATCH_CHARS or row + 1 == batch.num_rows:
+                    # The nodes of a page take many times its size, so they do not wait for the whole batch.
+                    part = batch.slice(start, row + 1 - start)
+                    yield pa.RecordBatch.from_arrays(
+                        [*[part.column(n) for n in names], pa.array(pages_nodes, nodes_type), pa.array(errors, pa.string())],
+                        names=[*names, "nodes", "dom_error"],
+                    )
+                    pages_nodes, errors, start, size = [], [], row + 1, 0
 
     return pages.mapInArrow(parse, out)
 
