@@ -3,7 +3,7 @@
 Both models are tables of (key, weight) and both scores are sums: a text is reduced,
 inside its row, to its distinct keys with their counts; the keys look up their
 weights; one partial sum per text is all that is shuffled when the model is small
-enough to be broadcast. Weights are integers (millionths of a logarithm), so a score
+enough for Spark to broadcast it. Weights are integers (millionths of a logarithm), so a score
 does not depend on the order of summation.
 """
 
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tessella.functions import metrics as M
 from tessella.functions import text as T
 from tessella.functions.arrays import let, run_lengths
-from tessella.operators.skew import count_rows, hot_keys, salted_join
-from tessella.sources.storage import BROADCAST_MAX_ROWS, broadcast_if_small, settle
+from tessella.operators.skew import count_rows
+from tessella.sources.storage import settle
 
 UNIT = 1_000_000
 
@@ -29,23 +29,18 @@ def _counted(keys: Column) -> Column:
     )
 
 
-def weighted_keys(
-    texts: DataFrame, ids: list[str], keys: Column, model: DataFrame, max_rows: int = BROADCAST_MAX_ROWS
-) -> DataFrame:
+def weighted_keys(texts: DataFrame, ids: list[str], keys: Column, model: DataFrame) -> DataFrame:
     """(ids, key, c, model columns): the keys of each text with what the model says about them.
 
-    Unknown keys stay, with NULLs, and a text without keys has one row with a NULL key.
-    With a small model each occurrence looks up its key in a broadcast table, and
-    nothing is shuffled before the sums. A larger model is joined by shuffle; then a
-    text first counts its distinct keys, and frequent keys are salted.
+    Unknown keys stay, with NULLs, and a text without keys has one row with a NULL key; such
+    rows are dealt by their ids. The join is a plain one on a table: a model whose
+    size in bytes is below the session's broadcast threshold is broadcast, a larger one
+    is shuffled, and adaptive execution splits the rows of a frequent key.
     """
-    model, small = broadcast_if_small(model, max_rows)
-    if small:
-        facts = texts.select(*ids, F.explode_outer(keys).alias("key"))
-        return facts.withColumn("c", F.when(F.col("key").isNotNull(), 1).otherwise(0)).join(model, "key", "left")
     facts = texts.select(*ids, F.inline_outer(_counted(keys))).fillna(0, ["c"])
-    hot = hot_keys(count_rows(facts, ["key"]), ["key"])
-    return salted_join(facts, model, ["key"], hot, ids, "left")
+    none = F.concat_ws(" ", F.lit("\0"), *[F.col(i).cast("string") for i in ids])
+    facts = facts.withColumn("_key", F.coalesce("key", none))
+    return facts.join(model.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
 
 
 # --- Language ---------------------------------------------------------------------
@@ -107,13 +102,13 @@ def train_language_model(
 
 
 def identify_language(
-    texts: DataFrame, model: LanguageModel, ids: list[str], text: str = "text", max_rows: int = BROADCAST_MAX_ROWS
+    texts: DataFrame, model: LanguageModel, ids: list[str], text: str = "text"
 ) -> DataFrame:
     """(ids, lang_pred, lang_score): best language and its posterior probability.
 
     Every text has a row; one without any n-gram gets the first language with equal odds.
     """
-    facts = weighted_keys(texts, ids, language_keys(F.col(text), model.n), model.weights, max_rows)
+    facts = weighted_keys(texts, ids, language_keys(F.col(text), model.n), model.weights)
     sums = facts.groupBy(*ids).agg(
         F.sum("c").alias("m"),
         *[F.sum(F.col("c") * F.coalesce(f"w{i}", F.lit(0))).alias(f"s{i}") for i in range(len(model.languages))],
@@ -198,10 +193,10 @@ def train_bigram_model(corpus: DataFrame, text: str = "text", k: float = 0.1, mi
 
 
 def perplexity(
-    texts: DataFrame, model: BigramModel, ids: list[str], text: str = "text", max_rows: int = BROADCAST_MAX_ROWS
+    texts: DataFrame, model: BigramModel, ids: list[str], text: str = "text"
 ) -> DataFrame:
     """(ids, perplexity): 10^(-log score / tokens), a line of m tokens counting m + 1."""
-    facts = weighted_keys(texts, ids, _with_contexts(bigram_keys(F.col(text))), model.weights, max_rows)
+    facts = weighted_keys(texts, ids, _with_contexts(bigram_keys(F.col(text))), model.weights)
     sums = facts.groupBy(*ids).agg(
         F.sum(F.col("c") * F.coalesce("w", F.lit(0))).alias("hit"),
         F.sum(F.when(F.contains("key", F.lit(" ")), F.col("c"))).alias("m"),

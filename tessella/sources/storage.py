@@ -3,7 +3,6 @@
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -26,13 +25,3 @@ def settle(df: DataFrame) -> DataFrame:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.parquet(path)
-
-
-# Tables up to this many rows, of bounded width, may be sent to every executor.
-BROADCAST_MAX_ROWS = 4_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Hint a broadcast when the table has been counted and is small. Use on settled tables."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df), True) if small else (df, False)

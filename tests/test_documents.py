@@ -314,3 +314,31 @@ def test_a_document_of_many_nodes_is_edited_in_one_pass(spark):
     cut = N.drop_paragraphs(docs, pars).select("nodes.text").first()[0]
     assert cut == ["u" if i % 2 == 0 else f"t{i}\n\nu" for i in range(n)]
     assert time.time() - started < 60
+
+
+def test_whole_configuration():
+    from tessella.catalog.document_queries import CONFIGURATION, LISTS, PARAGRAPHS
+    from tessella.plans.options import from_configuration
+
+    checks = from_configuration(CONFIGURATION, **LISTS)
+    assert checks.paragraphs == replace(PARAGRAPHS, language="ar")
+    assert checks.documents == TextChecks(**LISTS) and checks.similarity is None
+    values = {
+        "cond_check_size_image": True,
+        "original_width_min_cutoff": 100,
+        "rendered_height_min_cutoff": 100,
+        "aspect_ratio_max_cutoff": 3,
+        "cond_check_number_images": False,
+        "number_images_min_cutoff": 1,
+        "cond_deduplicate_nodes_doc_level": True,
+        "deduplication_max_cuttoff": 70,
+        "cond_check_stopword_ratio_doc_level": True,
+        "stopword_ratio_doc_level_min_cutoff": 0.4,
+        "valid_formats": {"jpg"},
+    }
+    checks = from_configuration(values, language="en")
+    assert checks.images == ImageChecks(check_size=True, min_side=100, max_aspect_ratio=3, formats=("jpg",))
+    assert checks.similarity == 70 and checks.documents.min_stop_words == 0.4 and checks.documents.language == "en"
+    for wrong in ({"no_such_name": 1}, {"original_width_min_cutoff": 1, "rendered_width_min_cutoff": 2}, {"cond_standardize_whitespace": False}):
+        with pytest.raises(ValueError):
+            from_configuration(wrong)

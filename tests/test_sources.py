@@ -95,13 +95,19 @@ def test_models_agree_with_and_without_broadcast(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     language = models.train_language_model(docs)
     near = sorted(models.identify_language(docs, language, ["doc_id"]).collect())
-    far = sorted(models.identify_language(docs, language, ["doc_id"], max_rows=1).collect())
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    far = sorted(models.identify_language(docs, language, ["doc_id"]).collect())
+    spark.conf.unset(threshold)
     assert near == far and len(near) == 4
     assert [r.lang_pred for r in near[:2]] == ["en", "de"]
     assert near[2].lang_score == 0.5
     lm = models.train_bigram_model(docs)
     near = sorted(models.perplexity(docs, lm, ["doc_id"]).collect())
-    assert near == sorted(models.perplexity(docs, lm, ["doc_id"], max_rows=1).collect()) and len(near) == 4
+    spark.conf.set(threshold, "-1")
+    far = sorted(models.perplexity(docs, lm, ["doc_id"]).collect())
+    spark.conf.unset(threshold)
+    assert near == far and len(near) == 4
     unseen = spark.createDataFrame([(1, "the cat sat"), (2, "sat the xyzzy")], "doc_id long, text string")
     seen, odd = [r.perplexity for r in sorted(models.perplexity(unseen, lm, ["doc_id"]).collect())]
     assert seen < odd
