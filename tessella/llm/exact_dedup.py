@@ -68,12 +68,13 @@ def exact_dedup(
         .groupBy("text_sha256")
         .agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
         .where("group_size > 1")
-        .withColumnRenamed("text_sha256", "key")
+        .select(F.concat(F.lit("sha:"), "text_sha256").alias("key"), "group_size", "keep_id")
     )
-    # A row without company gets a key of its own, so that no value of the join key is hot.
+    # A row without company gets a key of its own. The key differs from the grouping key, so the groups
+    # are dealt anew and adaptive execution can split the rows of a large group.
     own = F.concat(F.lit("id:"), F.coalesce(F.col("doc_id").cast("string"), F.col("text_sha256")))
     return (
-        hashed.withColumn("key", F.when(F.col("same_head"), F.col("text_sha256")).otherwise(own))
+        hashed.withColumn("key", F.when(F.col("same_head"), F.concat(F.lit("sha:"), "text_sha256")).otherwise(own))
         .join(groups, "key", "left")
         .select(
             "doc_id",
