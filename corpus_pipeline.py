@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessella.llm import exact_dedup, mixing, ngram_join, packing, quality
 
@@ -12,7 +13,7 @@ from tessella.llm import exact_dedup, mixing, ngram_join, packing, quality
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, model, keep_columns=True).where("_kept").select(docs.columns)
+    return quality.keep_good(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +29,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it, in training order."""
-    plan = mixing.training_positions(mixing.plan_mix(docs), sort=False).select("doc_id", "epoch", "position")
-    return docs.join(plan, "doc_id").orderBy("position", "doc_id", "epoch").select(docs.columns)
+    """Every document as often as the mix takes it, in training order. Rows that agree in id, source
+    and size are taken equally often."""
+    same = ["doc_id", "source", "size"]
+    plan = mixing.plan_mix(docs).groupBy(*same, "source_size", "target", "slot")
+    plan = plan.agg(F.floor(F.avg("epochs") + 0.5).cast("int").alias("epochs"), F.min("middle").alias("middle"))
+    place = mixing.training_positions(plan, sort=False).alias("place")
+    agree = (
+        F.col("doc.doc_id").eqNullSafe(F.col("place.doc_id"))
+        & F.col("doc.source").eqNullSafe(F.col("place.source"))
+        & (mixing.word_count(F.col("doc.text")) == F.col("place.size"))
+    )
+    placed = docs.alias("doc").join(place, agree).orderBy("place.position", "place.doc_id", "place.epoch")
+    return placed.select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -154,12 +154,12 @@ def plan_mix(
 
 
 def training_positions(plan: DataFrame, schedules=SCHEDULES, sort: bool = True) -> DataFrame:
-    """(doc_id, size, epoch, position): every repeat at the time at which its source's demand
+    """(doc_id, source, size, epoch, position): every repeat at the time at which its source's demand
     reaches it, in training order (a range partitioning by position)."""
     repeats = plan.where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
     done = F.col("middle") + (F.col("epoch") - 1) * F.col("source_size")
     share = F.least(done / F.greatest(F.col("target"), F.lit(1.0)), F.lit(1.0))
     placed = repeats.select(
-        "doc_id", "size", "epoch", _position(share, F.col("slot"), schedules).alias("position")
+        "doc_id", "source", "size", "epoch", _position(share, F.col("slot"), schedules).alias("position")
     )
     return placed.orderBy("position", "doc_id", "epoch") if sort else placed

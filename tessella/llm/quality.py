@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.llm.textkit import LOWER, NOT_BLANK, pieces, span_hashes, text_bytes, words
 
@@ -169,11 +170,15 @@ class CoTrained:
         return self.combined.predict(margins), *(1 / (1 + np.exp(-m)) for m in margins.T)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    def column(name, kind):
-        return (F.col(name) if name in docs.columns else F.lit(None)).cast(kind).alias(name)
+READ = (("doc_id", "long"), ("text", "string"), ("source", "string"), ("lang", "string"), ("n_chars", "double"))
+
+
+def _read(docs: DataFrame, name: str, kind: str):
+    return F.col(name).try_cast(kind) if name in docs.columns else F.lit(None).cast(kind)
 
-    return docs.select(*(column(n, k) for n, k in (("doc_id", "long"), ("text", "string"), ("source", "string"), ("lang", "string"), ("n_chars", "double"))))
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(*(_read(docs, n, k).alias(n) for n, k in READ))
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,33 +222,47 @@ def _score(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch, "text"):
             score, by_text, by_meta = model.score(*views(piece))
             yield pa.RecordBatch.from_arrays(
-                [*(piece.column(c) for c in piece.schema.names), *map(pa.array, (score, by_text, by_meta, score >= model.cut))],
-                names=[*piece.schema.names, "_score", "_text_score", "_meta_score", "_kept"],
+                [piece.column("doc_id"), *map(pa.array, (score, by_text, by_meta, score >= model.cut))],
+                names=["doc_id", "score", "text_score", "meta_score", "kept"],
             )
 
 
-def score_quality(docs: DataFrame, model: CoTrained | None, keep_columns: bool = False) -> DataFrame:
-    """(doc_id, score, text_score, meta_score, kept), one row per row of `docs`; with `keep_columns`,
-    `docs` with the columns _score, _text_score, _meta_score, _kept.
+def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
+    """(doc_id, score, text_score, meta_score, kept), one row per row of `docs`.
 
     Every whole text is scored where it stands, without a shuffle. Null texts count as empty, a null
-    source, language or length is a value of its own; a missing one is null everywhere. Without a
-    model all rows are kept with score 0.5.
+    source, language or length is a value of its own; a missing one is null everywhere. Other columns
+    are not read. Without a model all rows are kept with score 0.5.
     """
-    names = ["_score", "_text_score", "_meta_score", "_kept"]
+    rows = _rows(docs)
     if model is None:
         half = F.lit(0.5)
-        scored = docs.withColumns(dict(zip(names, (half, half, half, F.lit(True)), strict=True)))
-    elif keep_columns:
-        held = docs.sparkSession.sparkContext.broadcast(model)
-        missing = [c for c in ("source", "lang", "n_chars") if c not in docs.columns]
-        wide = docs.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else docs
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema)
-        scored = wide.mapInArrow(lambda b: _score(b, held), f"{schema}, _score double, _text_score double, _meta_score double, _kept boolean").drop(*missing)
-    else:
-        held = docs.sparkSession.sparkContext.broadcast(model)
-        schema = "doc_id long, text string, source string, lang string, n_chars double"
-        scored = _rows(docs).mapInArrow(lambda b: _score(b, held), f"{schema}, _score double, _text_score double, _meta_score double, _kept boolean")
-    if keep_columns:
-        return scored
-    return scored.select("doc_id", *(F.col(n).alias(n[1:]) for n in names))
+        return rows.select("doc_id", half.alias("score"), half.alias("text_score"), half.alias("meta_score"), F.lit(True).alias("kept"))
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    return rows.mapInArrow(
+        lambda b: _score(b, held), "doc_id long, score double, text_score double, meta_score double, kept boolean"
+    )
+
+
+def _keep(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+    model = held.value
+    for batch in batches:
+        row = batch.column("row")
+        read = {c: batch.column(c) for c in batch.schema.names if c != "row"}
+        flat = pa.RecordBatch.from_arrays([*read.values(), pa.array(np.arange(len(row)))], names=[*read, "at"])
+        for piece in pieces(flat, "text"):
+            score, _, _ = model.score(*views(piece))
+            at = piece.column("at").filter(pa.array(score >= model.cut))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([row.take(at)], names=["row"])
+
+
+def keep_good(docs: DataFrame, model: CoTrained | None) -> DataFrame:
+    """The rows of `docs`, with all their columns, that the model keeps; nothing is shuffled."""
+    if model is None:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    read = [c.alias(n) for c, n in ((_read(docs, n, k), n) for n, k in READ)]
+    schema = T.StructType([T.StructField("row", docs.schema)])
+    return docs.select(*read, whole).mapInArrow(lambda b: _keep(b, held), schema).select("row.*")

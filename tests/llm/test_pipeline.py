@@ -48,3 +48,23 @@ def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, position string, size string, epoch int, kept string"
+    text = "a b c d e f g h"
+    rows = [(1, text, "en", "s", 5, "p", "z", 1, "k"), (1, text, "en", "s", 5, "p", "z", 1, "k"), (2, text, None, None, None, None, None, None, None)]
+    rows += [(None, "no id at all", "en", "s", 1, "p", "z", 2, "k"), (3, None, "en", "s", 0, "p", "z", 3, "k"), (4, "", "en", None, 0, "p", "z", 4, "k")]
+    labels = spark.createDataFrame([(1, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int")
+    for name, data in (("odd", rows), ("empty", [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/documents.parquet")
+        (labels if data else labels.limit(0)).write.parquet(f"{folder}/labels.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, folder)
+            assert number == 4 or out.columns == docs.columns
+            out.write.parquet(f"{folder}/out{number}")
+            docs = spark.read.parquet(f"{folder}/out{number}")
+        found = docs.select("doc_id", "n_tokens").collect()
+        assert {r["doc_id"] for r in found} <= {1, 2, None} and bool(found) == bool(data)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from tessella.llm import quality
 
@@ -36,8 +38,11 @@ def test_edges(spark):
     )
     truth = many.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality")
     model = quality.train(many, truth.unionByName(truth))
-    kept = quality.score_quality(many, model, keep_columns=True)
-    assert kept.where("_kept").where("doc_id % 2 = 0").count() == 0 and kept.where("_kept").count() == 100
-    assert kept.columns[:6] == many.columns
+    kept = quality.keep_good(many.withColumn("row", F.struct("doc_id")).withColumn("at", F.lit("x")), model)
+    assert kept.where("doc_id % 2 = 0").count() == 0 and kept.count() == 100
+    assert kept.columns == [*many.columns, "row", "at"] and kept.where("row.doc_id = doc_id").count() == 100
+    assert quality.keep_good(docs, None).count() == 5
+    worded = many.withColumn("n_chars", F.lit("not a number"))
+    assert quality.keep_good(worded, model).count() > 0
     assert quality.score_quality(docs, model).count() == 5
     assert quality.score_quality(docs.select("doc_id", "text").limit(0), model).count() == 0
