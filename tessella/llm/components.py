@@ -19,6 +19,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of rows with one row for each key. A hash of the key is a second join key, so that
+    both sides are shuffled for the join even where one is grouped by the key already: only then
+    adaptive execution can split the rows of a large key."""
+    again = F.xxhash64(key)
+    return left.withColumn("_again", again).join(right.withColumn("_again", again), [key, "_again"]).drop("_again")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every node of the links (a, b): the smallest reachable node.
 
@@ -37,14 +45,13 @@ def components(links: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low"))
         large = (
-            both.where("b > a")
-            .join(low.select("a", F.least("a", "low").alias("low")), "a")
+            spread_join(both.where("b > a"), low.select("a", F.least("a", "low").alias("low")), "a")
             .select(F.col("b").alias("a"), F.col("low").alias("b"))
             .distinct()
         )
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (
-            large.join(low, "a")
+            spread_join(large, low, "a")
             .select(F.explode(F.array(F.struct("b", "low"), F.struct(F.col("a").alias("b"), "low"))).alias("x"))
             .select(F.col("x.b").alias("a"), F.col("x.low").alias("b"))
             .where("a != b")

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.components import components, cut
+from tessella.llm.components import components, cut, spread_join
 from tessella.llm.textkit import (
     LOWER,
     NOT_BLANK,
@@ -44,7 +44,7 @@ COMBINED = 2
 #: Tokens of more documents than this are frequent.
 FREQUENT = 1000
 #: Text that a task gathers before it sends its tokens, and text for each bin that merges them.
-BLOCK_BYTES, BIN_BYTES = 8 << 20, 8 << 20
+BLOCK_BYTES, BIN_BYTES = 4 << 20, 8 << 20
 #: A verifying task holds at most two tiles of so many sets and bytes.
 TILE_SETS, TILE_BYTES = 512, 32 << 20
 TOKEN_BITS = 48
@@ -288,7 +288,7 @@ def ngram_join(
     keyed = table.where("keys IS NOT NULL").select("fp", F.explode("keys").alias("key"))
     smallest = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low != high")
     clusters = components(
-        keyed.join(smallest, "key").where("fp != low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
+        spread_join(keyed, smallest, "key").where("fp != low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
     ).select(F.col("id").alias("fp"), F.col("component").alias("cluster"))
 
     sets = table.where("tokens IS NOT NULL").join(clusters, "fp").select("cluster", "fp", "n", "tokens").dropDuplicates(["fp"])
@@ -298,7 +298,7 @@ def ngram_join(
         .select("cluster", F.greatest(F.ceil(F.col("sets") / TILE_SETS), F.ceil(F.col("bytes") / TILE_BYTES)).alias("tiles"))
     )
     dealt = (
-        sets.join(tiles, "cluster")
+        spread_join(sets, tiles, "cluster")
         .withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
@@ -316,7 +316,7 @@ def ngram_join(
     )
     lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return (
-        rooted.join(lowest, "root")
+        spread_join(rooted, lowest, "root")
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
         .unionByName(table.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
         .unionByName(
