@@ -45,8 +45,24 @@ GENERATORS = (
     ("address", re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")),
 )
 KINDS = (*BASE, *(kind for kind, _ in GENERATORS))
-_NAME = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|api[ _-]?key|access[ _-]?key|key|bearer|e-?mail|mail|phone|tel|call|ssn|iban|account)\W{0,6}$")
-_NOT_PRIVATE = re.compile(r"[0-9]{1,4}([./-])[0-9]{1,2}\1[0-9]{1,4}|[0-9]+(?:\.[0-9]+){0,2}")
+CONTACT = KINDS.index("contact")
+#: What stands before a value and tells what it is.
+_NAMES = {
+    "secret": re.compile(r"(?i)(?:token|secret|passw(?:or)?d|api[ _-]?key|access[ _-]?key|key|bearer)\W{0,6}$"),
+    "contact": re.compile(r"(?i)(?<![a-z])(?:e-?mail|mail|contact|write to|reach (?:me|us))(?: address)?(?: (?:is|me|us))?(?: at)?\W{0,6}$"),
+    "number": re.compile(r"(?i)(?<![a-z])(?:(?:tele)?phone|tel|mobile|cell|fax|call|contact)(?: (?:number|no|is|me|us))*(?: (?:at|on))?\W{0,6}$"),
+    "identity": re.compile(r"(?i)(?<![a-z])(?:ssn|social security|tax id|identity)(?: (?:number|no|is))*\W{0,6}$"),
+    "account": re.compile(r"(?i)(?<![a-z])(?:iban|account)(?: (?:number|no|is))*\W{0,6}$"),
+    "address": re.compile(r"(?i)(?<![a-z])(?:ip|ipv6|addr|address)(?: is)?\W{0,6}$"),
+}
+_OTHER = re.compile(r"(?i)(?<![a-z])(?:orders?|invoice|part|item|ref(?:erence)?|version|v|isbn|sku|case|model|serial|date|page)(?: (?:number|no|is))*\W{0,6}$")
+_DATE = re.compile(
+    r"(?:[12][0-9]{3}([./-])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])"
+    r"|(?:0?[1-9]|[12][0-9]|3[01])([./-])(?:0?[1-9]|[12][0-9]|3[01])\2(?:[12][0-9])?[0-9]{2})"
+)
+_NOT_PRIVATE = re.compile(rf"[0-9]+(?:\.[0-9]+)?|[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{2}}|{_DATE.pattern}")
+#: Last parts of written-out addresses that are not just words.
+_DOMAINS = frozenset("com org net edu gov info biz io dev app co me us uk de fr es it nl eu ch at be se no pl pt br jp cn in ru ca au".split())
 
 SPAN = "struct<kind:string,start:long,end:long,score:double,base:boolean>"
 
@@ -107,6 +123,33 @@ def candidates(text: str, found: list[tuple[int, int, int, bool]]) -> list[tuple
     return out
 
 
+def named(text: str, kind: int, a: int) -> bool:
+    """Does the text before say that the value is of this kind?"""
+    return kind >= len(BASE) and bool(_NAMES[KINDS[kind]].search(text[max(0, a - 40) : a]))
+
+
+def _valid_account(s: str) -> bool:
+    s = s.replace(" ", "")
+    return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
+def well_formed(kind: int, s: str) -> bool:
+    """The checks of the kind's format that go beyond its pattern."""
+    match KINDS[kind]:
+        case "contact":
+            return s.lower().replace("(", "[").count("[at") == 1 and len(s) - len(s.rstrip("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")) >= 2
+        case "number":
+            d = _digits(s)
+            return d[0] > "1" and d[3] > "1"
+        case "identity":
+            return s[:3] not in ("000", "666") and s[0] != "9" and s[4:6] != "00" and s[7:] != "0000"
+        case "account":
+            return _valid_account(s)
+        case "address":
+            return s.count(":") == 7
+    return not (s.isdigit() or re.fullmatch("[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}", s) and _valid_account(s))
+
+
 def features(text: str, kind: int, a: int, b: int) -> list[float]:
     """Format: characters and their mix. Context: what stands beside the span."""
     s = text[a:b]
@@ -132,7 +175,10 @@ def features(text: str, kind: int, a: int, b: int) -> list[float]:
         float(before[-1:] in "\"'`" and bool(before)),
         float(before[-1:].isalnum()),
         float(after[:1].isalnum()),
-        float(bool(_NAME.search(before.rstrip("\"' =:")) or _NAME.search(before))),
+        float(named(text, kind, a)),
+        float(well_formed(kind, s)),
+        float(bool(_OTHER.search(before))),
+        float(kind != CONTACT or s.rpartition(" ")[2].rpartition("]")[2].rpartition(")")[2].lower() in _DOMAINS),
     ]
 
 
@@ -141,11 +187,21 @@ def _rule(text: str, kind: int, a: int, b: int, valid: bool | None) -> int | Non
     if valid is not None:
         return int(valid)
     s = text[a:b]
-    if _NOT_PRIVATE.fullmatch(s) or s.isdigit():
-        return 0
-    if _NAME.search(text[max(0, a - 24) : a]) and sum(c.isdigit() for c in s) >= 3:
+    digits = sum(c.isdigit() for c in s)
+    fits = well_formed(kind, s)
+    match KINDS[kind]:
+        case "contact":
+            # Brackets are never plain prose; " at " and " dot " need a name before them or a known last part.
+            if fits or named(text, kind, a):
+                return 1
+            return None if s.rpartition(" ")[2].lower() in _DOMAINS else 0
+        case "address" | "account":
+            return int(fits or named(text, kind, a))
+    if named(text, kind, a) and digits >= 3:
         return 1
-    if KINDS[kind] == "secret" and (sum(c.isdigit() for c in s) <= 2 or s.count("-") + s.count("_") > 4):
+    if _NOT_PRIVATE.fullmatch(s) or not fits or _OTHER.search(text[max(0, a - 24) : a]):
+        return 0
+    if KINDS[kind] == "secret" and (digits <= 2 or s.count("-") + s.count("_") > 4):
         return 0
     return None
 
