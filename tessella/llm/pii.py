@@ -1,10 +1,11 @@
 """Personal data: high-recall generators propose overlapping spans, boosted trees choose among them.
 
 Spans of the exact formats (email, ip, card, phone) are always kept. Other candidates are scored from
-format and context features by trees trained here on a bounded sample of documents, whose labels come
-from rules: a valid exact span or a value with a telling name is private, a candidate that fails the
-checks of its format or looks like a number, date or version is not. Each kind has the smallest
-threshold that is precise enough on candidates of the sample that the trees have not seen.
+format and context features by trees. Rules label candidates in all documents: a value of a telling
+name or of a format with a check sum is private, one that fails the checks of its format or looks like a
+number, date or version is not. The trees are trained on a bounded sample of these, of every kind and
+label alike; each kind has the smallest threshold that is precise enough on all labelled candidates
+that the trees have not seen.
 """
 
 from __future__ import annotations
@@ -19,14 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.boosting import Boosted
+from tessella.llm.components import cut
 from tessella.llm.textkit import pieces, text_bytes
 
 BASE = ("email", "ip", "card", "phone")
-#: Documents the trees are trained on, and the candidates taken from them, at most.
-TRAIN_DOCS, TRAIN_CANDIDATES = 4000, 20_000
+#: Candidates of a kind and label that the trees are trained on, at most.
+TRAIN_CANDIDATES = 1500
 PRECISION = 0.98
 #: Private candidates of a kind that the trees have not seen, to set its threshold by.
 MIN_EXAMPLES = 3
+#: Width of a bin of scores, in log odds, and the log odds of the last bins.
+BIN, LAST = 0.05, 12.0
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -182,10 +186,8 @@ def features(text: str, kind: int, a: int, b: int) -> list[float]:
     ]
 
 
-def _rule(text: str, kind: int, a: int, b: int, valid: bool | None) -> int | None:
+def _rule(text: str, kind: int, a: int, b: int) -> int | None:
     """The label that a rule gives a candidate, if any does."""
-    if valid is not None:
-        return int(valid)
     s = text[a:b]
     digits = sum(c.isdigit() for c in s)
     fits = well_formed(kind, s)
@@ -206,28 +208,40 @@ def _rule(text: str, kind: int, a: int, b: int, valid: bool | None) -> int | Non
     return None
 
 
+def _bins(scores: np.ndarray) -> np.ndarray:
+    p = np.clip(scores, 1e-9, 1 - 1e-9)
+    return np.floor(np.clip(np.log(p / (1 - p)), -LAST, LAST) / BIN).astype(int)
+
+
 class Selector:
-    """The trees, and the threshold of every kind that can be told apart well enough."""
+    """The trees, and the lowest bin of scores of every kind that can be told apart well enough."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
-        # Every third candidate of a kind and label is held out.
-        group = np.unique(x[:, 0] * 2 + y, return_inverse=True)[1]
-        order = np.argsort(group, kind="stable")
-        place = np.empty(len(y), int)
-        place[order] = np.arange(len(y)) - np.searchsorted(group[order], group[order])
-        seen = place % 3 != 0
-        self.trees = Boosted(x[seen], y[seen])
-        score, truth, kind = self.trees.predict(x[~seen]), y[~seen], x[~seen][:, 0].astype(int)
-        self.thresholds: dict[int, float] = {}
+        self.trees = Boosted(x, y)
+        self.thresholds: dict[int, int] = {}
+
+    def set_thresholds(self, counts: list[tuple[int, int, int, int]], sizes: dict[tuple[int, int], int]) -> None:
+        """counts: (kind, bin, label, n) of the labelled candidates that the trees have not seen.
+        sizes: all candidates of a kind and label. As the trees have seen a larger share of the rare
+        labels, the counts are weighted up to the sizes."""
         for k in range(len(BASE), len(KINDS)):
-            s, t = score[kind == k], truth[kind == k]
-            order = np.argsort(-s, kind="stable")
-            precise = np.cumsum(t[order]) / np.arange(1, len(s) + 1)
-            good = np.flatnonzero((precise >= PRECISION) & (t[order] == 1))
-            if t.sum() >= MIN_EXAMPLES and len(good):
-                # Halfway to the next candidate below.
-                ranked = np.append(s[order], 0.0)
-                self.thresholds[k] = max(0.5, float(ranked[good[-1]] + ranked[good[-1] + 1]) / 2)
+            own = [c for c in counts if c[0] == k]
+            unseen = [sum(n for _, _, label, n in own if label == y) for y in (0, 1)]
+            if unseen[1] < MIN_EXAMPLES:
+                continue
+            ranked = sorted({c[1] for c in own}, reverse=True)
+            right = wrong = 0.0
+            lowest = None
+            for place, at in enumerate(ranked):
+                here = [sum(n for _, bin_, label, n in own if (bin_, label) == (at, y)) for y in (0, 1)]
+                right += here[1] * sizes[k, 1] / unseen[1]
+                wrong += here[0] * sizes[k, 0] / unseen[0] if here[0] else 0
+                if here[1] and right >= PRECISION * (right + wrong):
+                    # Halfway to the next candidate below.
+                    below = ranked[place + 1] if place + 1 < len(ranked) else -int(LAST / BIN)
+                    lowest = max(0, (at + below + 1) // 2)
+            if lowest is not None:
+                self.thresholds[k] = lowest
 
     def choose(self, text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
         """Candidates above their threshold; of overlapping ones the best, then the leftmost, stays."""
@@ -235,9 +249,10 @@ class Selector:
         if not found:
             return []
         scores = self.trees.predict(np.array([features(text, *c) for c in found]))
+        enough = {c for c, n in zip(found, _bins(scores).tolist(), strict=True) if n >= self.thresholds[c[0]]}
         kept: list[tuple[int, int, int, float]] = []
         for (k, a, b), s in sorted(zip(found, scores.tolist(), strict=True), key=lambda x: (-x[1], x[0][1], x[0])):
-            if s >= self.thresholds[k] and not any(p < b and a < q for _, p, q, _ in kept):
+            if (k, a, b) in enough and not any(p < b and a < q for _, p, q, _ in kept):
                 kept.append((k, a, b, s))
         return kept
 
@@ -262,29 +277,60 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, text in zip(piece.column("doc_id").to_pylist(), texts, strict=True):
             if text is None:
                 continue
-            found = exact(text)
-            every = [(k, a, b, v) for k, a, b, v in found] + [(*c, None) for c in candidates(text, found)]
-            for k, a, b, valid in every:
-                label = _rule(text, k, a, b, valid)
-                if label is not None and b - a < 2000:
-                    rows.append((doc_id, a, label, features(text, k, a, b)))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "label", "x"])
+            for k, a, b in candidates(text, exact(text)):
+                label = _rule(text, k, a, b)
+                if label is not None:
+                    rows.append((doc_id, a, k, label, np.array(features(text, k, a, b)).tobytes()))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "kind", "label", "x"])
+
+
+def _table(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column)).reshape(len(column), -1)
+
+
+def _scored(batches: Iterator[pa.RecordBatch], selector: Selector) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            bins = _bins(selector.trees.predict(_table(batch.column("x").to_pylist())))
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(bins, pa.int32()), batch.column("label")], names=["kind", "bin", "label"])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Selector | None:
-    """Trees from the candidates of about TRAIN_DOCS documents chosen by a hash of their id."""
+    """The candidates of all documents that a rule labels, with their features, are written once. Of
+    every kind and label the trees get those of the lowest hashes, two thirds of them or
+    TRAIN_CANDIDATES; the thresholds come from the counts of all others."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    count = rows.count()
-    limit = int(min(1.0, TRAIN_DOCS / max(count, 1)) * (1 << 32))
-    few = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < limit)
-    labelled = few.mapInArrow(_labelled, "doc_id long, start long, label int, x array<double>")
-    found = labelled.orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start", "x").limit(TRAIN_CANDIDATES).collect()
-    x, y = np.array([r["x"] for r in found]), np.array([r["label"] for r in found])
-    if len(y) < 60 or y.min() == y.max():
+    labelled = rows.mapInArrow(_labelled, "doc_id long, start long, kind int, label int, x binary")
+    labelled = cut(labelled.select("kind", "label", "x", F.xxhash64("doc_id", "start", "kind", "x").alias("hash")))
+    sizes = {(r["kind"], r["label"]): r["count"] for r in labelled.groupBy("kind", "label").count().collect()}
+    if not any(label for _, label in sizes):
         return None
-    return Selector(x, y)
+
+    def of(kind, label):
+        return (F.col("kind") == kind) & (F.col("label") == label)
+
+    # A share of the hash range with somewhat more than is needed, then the exact cut.
+    few = F.lit(False)
+    for (k, y), n in sizes.items():
+        share = min(1.0, 1.5 * TRAIN_CANDIDATES / n)
+        few |= of(k, y) & (F.col("hash") / float(1 << 64) + 0.5 <= share)
+    found: dict[tuple[int, int], list] = {s: [] for s in sizes}
+    for r in labelled.where(few).collect():
+        found[r["kind"], r["label"]].append((r["hash"], r["x"]))
+    seen = F.lit(False)
+    x, y = [], []
+    for s, own in sorted(found.items()):
+        own = sorted(own)[: min(TRAIN_CANDIDATES, -(-2 * sizes[s] // 3))]
+        x += [v for _, v in own]
+        y += [s[1]] * len(own)
+        seen |= of(*s) & (F.col("hash") <= own[-1][0])
+    selector = Selector(_table(x), np.array(y))
+    counts = labelled.where(~seen).mapInArrow(lambda b: _scored(b, selector), "kind int, bin int, label int")
+    counts = counts.groupBy("kind", "bin", "label").agg(F.count("*").alias("n")).collect()
+    selector.set_thresholds([(r["kind"], r["bin"], r["label"], r["n"]) for r in counts], sizes)
+    return selector
 
 
 def _find(batches: Iterator[pa.RecordBatch], selector: Selector | None) -> Iterator[pa.RecordBatch]:

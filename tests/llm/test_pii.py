@@ -101,7 +101,7 @@ def planted(seed, n):
         lambda: "we look at this dot here",
         lambda: f"order {valid()}-{valid()}-{d(4)}",
         lambda: f"part {rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}",
-        lambda: f"code AB{d(2)}{x(16).upper()}",
+        lambda: f"code AB{rng.choice(['03', '41', '77'])} {d(4)} ABCD EFGH IJKL",
         lambda: ":".join(x(2) for _ in range(6)),
     ]
     out = []
@@ -123,3 +123,29 @@ def test_every_kind_is_found(spark):
         own = [i for i in free if rows[i][1] == kind]
         assert len(own) > 20 and all(found[i] == [rows[i][1:]] for i in own), kind
     assert sum(bool(found[i]) for i in free if rows[i][1] is None) <= 2
+
+
+def test_rare_kinds_have_thresholds_from_all_documents(spark, monkeypatch):
+    """Thirty account numbers in 12,000 documents of other candidates, and few candidates to train on."""
+    monkeypatch.setattr(pii, "TRAIN_CANDIDATES", 100)
+    rng = random.Random(6)
+    texts = [f"Words, order number {rng.randrange(10**17, 10**18)} and more." for _ in range(12_000)]
+    for i in range(0, 12_000, 400):
+        texts[i] = f"Words, iban: {iban(rng)} and more."
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: {s["kind"] for s in r["spans"]} for r in pii.find_private(df, pii.train(df)).collect()}
+    rare = [i for i in range(0, 12_000, 400) if not found[i] & set(pii.BASE)]
+    assert len(rare) > 20 and all(found[i] == {"account"} for i in rare)
+    assert sum("account" in found[i] for i in range(12_000)) == len(rare)
+
+
+def test_thresholds_weigh_the_labels_by_their_counts():
+    import numpy as np
+
+    k = pii.KINDS.index("account")
+    selector = pii.Selector(np.zeros((10, 20)), np.arange(10) % 2)
+    # Half of the private ones are unseen and nearly all of the others: 100 + 100 of 204 in truth.
+    selector.set_thresholds([(k, 80, 1, 50), (k, 60, 1, 50), (k, 60, 0, 2), (k, 20, 0, 900)], {(k, 1): 200, (k, 0): 910})
+    assert selector.thresholds == {k: 40}
+    selector.set_thresholds([(k, 80, 1, 2)], {(k, 1): 6})
+    assert selector.thresholds == {k: 40}
