@@ -3,8 +3,8 @@
 Two codebooks, one for each half of the (unit-length) vectors, form a product grid; a vector lies in the
 cell of its nearest codewords. A search visits cells in the order of their distance sums
 (multi-sequence traversal) until the target recall, which is measured on a sample against brute force,
-and verifies by exact cosine. The codebooks are fitted on a bounded sample; every vector is indexed
-and searched.
+and verifies by exact cosine. Vectors of every length have an index of their own, whose codebooks are
+fitted on a bounded sample; every vector is indexed and searched. Few vectors of a length are one cell.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ from tessella.llm.components import components, cut
 from tessella.llm.textkit import small_components
 
 THRESHOLD = 0.95
-#: Vectors the codebooks are fitted on and the traversal is calibrated with, at most.
-SAMPLE, PROBES = 20_000, 400
+#: Vectors the codebooks of all lengths are fitted on, about, and at least for each length that has an
+#: index; vectors the traversal is calibrated with.
+SAMPLE, LEAST_SAMPLE, PROBES = 20_000, 1000, 400
 TARGET_RECALL = 0.99
 #: Vectors aimed at in a cell, codewords of a half at most, and rows of a cell that one task compares.
 CELL_ROWS, MAX_CODES, CHUNK = 256, 1024, 4096
@@ -114,23 +115,26 @@ class MultiIndex:
 
 def _index(batches: Iterator[pa.RecordBatch], held, single: bool) -> Iterator[pa.RecordBatch]:
     """Distinct vectors with their cell and the cells that their search visits."""
-    index = held.value
+    indexes = held.value
     for batch in batches:
-        rows, raw = _matrix(batch.column("embedding"), index.dim)
-        if not len(rows):
-            continue
-        x = unit_rows(raw)
-        picked = batch.take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays(
-            [
-                picked.column("rep"),
-                picked.column("copies"),
-                pa.array([v.tobytes() for v in (raw.astype(np.float32) if single else raw)], pa.binary()),
-                pa.array(index.cells(x), pa.int64()),
-                pa.array(index.traverse(x), pa.list_(pa.int64())),
-            ],
-            names=["rep", "copies", "vector", "cell", "visits"],
-        )
+        for dim in pc.unique(pc.list_value_length(batch.column("embedding"))).to_pylist():
+            rows, raw = _matrix(batch.column("embedding"), dim)
+            x = unit_rows(raw)
+            picked = batch.take(pa.array(rows))
+            index = indexes.get(dim)
+            # Without an index all vectors of the length are in one cell.
+            cells, visits = (index.cells(x), index.traverse(x)) if index else (np.zeros(len(x), int), [[0]] * len(x))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    picked.column("rep"),
+                    picked.column("copies"),
+                    pa.array([v.tobytes() for v in (raw.astype(np.float32) if single else raw)], pa.binary()),
+                    pa.array(np.full(len(x), dim), pa.int64()),
+                    pa.array(cells, pa.int64()),
+                    pa.array(visits, pa.list_(pa.int64())),
+                ],
+                names=["rep", "copies", "vector", "dim", "cell", "visits"],
+            )
 
 
 def _vectors(column: pa.ChunkedArray, single: bool) -> np.ndarray:
@@ -174,8 +178,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Vectors link at a cosine of 0.95 or more. Equal vectors are one node with a count, so a group of
     copies is searched once and its links are counted without listing them. Cells of many vectors are
     dealt in chunks, each of which meets all searches of the cell. Links are summed up in the tasks,
-    pairs never leave them. Vectors that are null, zero, of another length than most of the sample, or
-    hold null or non-finite components link with nothing; they and null ids are kept.
+    pairs never leave them. Only vectors of equal length link. Vectors that are null, zero, or hold null
+    or non-finite components link with nothing; they and null ids are kept.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -188,31 +192,39 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         .groupBy("embedding")
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     )
-    count = distinct.count()
-    limit = int(min(1.0, 1.2 * SAMPLE / max(count, 1)) * (1 << 32))
-    few = distinct.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 32)) < limit).orderBy(F.xxhash64("rep")).limit(SAMPLE)
-    sample = [r["embedding"] for r in few.select("embedding").collect()]
+    dim = F.size("embedding").cast("long")
+    counts = {r["dim"]: r["count"] for r in distinct.groupBy(dim.alias("dim")).count().collect()}
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not sample:
+    if not counts:
         return alone
-    lengths = [len(v) for v in sample]
-    dim = max(sorted(set(lengths)), key=lengths.count)
-    x = unit_rows(np.array([v for v in sample if len(v) == dim]))
+    # Up to a chunk of vectors of one length are compared plainly; the others' lengths are indexed.
+    share = F.lit(0.0)
+    for length, n in counts.items():
+        if n > CHUNK:
+            few = max(1.2 * SAMPLE * n / sum(counts.values()), 1.2 * LEAST_SAMPLE)
+            share = F.when(dim == length, min(1.0, few / n)).otherwise(share)
+    rank = F.xxhash64("rep")
+    sample: dict[int, list] = {}
+    if max(counts.values()) > CHUNK:
+        few = distinct.where(F.pmod(rank, F.lit(1 << 32)) < share * float(1 << 32)).orderBy(rank, "rep").select("embedding")
+        for r in few.collect():
+            sample.setdefault(len(r["embedding"]), []).append(r["embedding"])
+    indexes = {length: MultiIndex(unit_rows(np.array(v)), counts[length]) for length, v in sample.items()}
     # Single-precision vectors travel as such.
     single = vectors.schema[vector_col].dataType.elementType.simpleString() == "float"
-    held = vectors.sparkSession.sparkContext.broadcast(MultiIndex(x, count))
+    held = vectors.sparkSession.sparkContext.broadcast(indexes)
 
-    indexed = cut(distinct.mapInArrow(lambda b: _index(b, held, single), "rep long, copies long, vector binary, cell long, visits array<long>"))
-    cells = indexed.groupBy("cell").agg(F.count("*").alias("rows")).select("cell", F.ceil(F.col("rows") / CHUNK).alias("chunks"))
-    stored = indexed.join(cells, "cell").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    indexed = cut(distinct.mapInArrow(lambda b: _index(b, held, single), "rep long, copies long, vector binary, dim long, cell long, visits array<long>"))
+    cells = indexed.groupBy("dim", "cell").agg(F.count("*").alias("rows")).select("dim", "cell", F.ceil(F.col("rows") / CHUNK).alias("chunks"))
+    stored = indexed.join(cells, ["dim", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
     probes = (
-        indexed.select("rep", "copies", "vector", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
-        .join(cells, "cell")
+        indexed.select("rep", "copies", "vector", "dim", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
+        .join(cells, ["dim", "cell"])
         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     )
     stored, probes = (x.toDF(*x.columns) for x in (stored, probes))
     found = cut(
-        stored.groupBy("cell", "chunk").cogroup(probes.groupBy("cell", "chunk")).applyInArrow(
+        stored.groupBy("dim", "cell", "chunk").cogroup(probes.groupBy("dim", "cell", "chunk")).applyInArrow(
             lambda s, p: _compare(s, p, single), "rep long, n long, to long")
     )
     links = found.groupBy("rep").agg(F.sum("n").alias("n"))

@@ -75,3 +75,21 @@ def test_traversal_visits_cells_in_order():
     for i, order in enumerate(index.traverse(x)):
         sums = [a[i][c // len(index.codes[1])] + b[i][c % len(index.codes[1])] for c in order]
         assert sorted(order) == list(range(index.visits)) and sums == sorted(sums) and order[0] == index.cells(x)[i]
+
+
+@pytest.mark.parametrize("chunk", [4096, 40])
+def test_every_length_is_searched(spark, chunk, monkeypatch):
+    """Two thirds of one length and one third of another, compared plainly and by an index each."""
+    monkeypatch.setattr(ed, "CELL_ROWS", 16)
+    monkeypatch.setattr(ed, "CHUNK", chunk)
+    rows = vectors(4, 300, 16)
+    other = [(10_000 + i, v) for i, v in vectors(5, 150, 24) if i < 3000]
+    odd = [(20_000, [1.0, 2.0, 3.0]), (20_001, [1.0, 2.0, 3.1])]
+    df = spark.createDataFrame(rows + other + odd, "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in ed.near_duplicates(df).collect()}
+    for part in (rows, other, odd):
+        expected = brute(part)
+        links = [sum(x[i][0] for i, _ in part) for x in (found, expected)]
+        assert links[1] > 0 and (links[0] == links[1] if chunk == 4096 else 0.95 * links[1] <= links[0] <= links[1])
+        if links[0] == links[1]:
+            assert {i: found[i] for i, _ in part} == expected
