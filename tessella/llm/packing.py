@@ -15,8 +15,6 @@ CAPACITIES = (512, 1024, 2048, 4096)
 #: What opening a bin costs besides its length, in tokens.
 OVERHEAD = 32
 ROWS_PER_PIECE = 20_000
-#: How many further items a trial filling of a new bin looks at.
-TRIAL_ITEMS = 16
 
 SCHEMA = (
     "doc_id long, copy long, chunk long, start_token long, n_tokens long, "
@@ -31,16 +29,12 @@ def _new_bin(length: int, capacities: Sequence[int], overhead: int, counts: list
     for capacity in capacities:
         if capacity < length:
             continue
-        room, waiting, used = capacity - length, lengths, {}
-        for _ in range(TRIAL_ITEMS):
-            fits = waiting & ((1 << (room + 1)) - 1)
-            if not fits:
-                break
+        room, waiting = capacity - length, lengths
+        # As many of the longest that fits as there are and fit, then the next shorter ones.
+        while fits := waiting & ((1 << (room + 1)) - 1):
             item = fits.bit_length() - 1
-            used[item] = used.get(item, 0) + 1
-            if used[item] >= counts[item]:
-                waiting ^= 1 << item
-            room -= item
+            room -= item * min(counts[item], room // item)
+            waiting = fits ^ (1 << item)
         filled = capacity - room
         price = (next(c for c in capacities if c >= filled) + overhead) / filled
         if best is None or price < best:

@@ -78,3 +78,11 @@ def test_documents_are_covered_once(spark):
             at += r["n_tokens"]
         assert items[0]["capacity"] == min(c for c in packing.CAPACITIES if c >= at)
     assert packing.best_fit_packing(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("length", [20, 100])
+def test_short_items_fill_the_size_of_least_cost(length):
+    """Bins of 4096 cost least a token, however many short items it takes to fill one."""
+    lengths = [length] * (10 * (4096 // length))
+    _, _, sizes = packing.pack_lengths(lengths)
+    assert sizes == [4096] * 10
