@@ -4,7 +4,7 @@ Two views of a document: what its text says (shares of character and word kinds,
 words) and its page metadata (source, language, lengths, lines). A logistic model of each view is fitted
 on labelled documents; over several rounds each labels the unlabelled documents that it is surest of for
 the other one. Both are calibrated on labelled documents that neither has seen and combined; the cut is
-set there as well, so that nearly all good documents stay.
+set there as well, where precision and recall of both classes are best.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from tessella.llm.textkit import LOWER, NOT_BLANK, pieces, span_hashes, text_byt
 #: Labelled and unlabelled documents the models are fitted on, chosen by a hash of the id.
 LABELLED, UNLABELLED = 6000, 6000
 ROUNDS, TAUGHT = 5, 0.05
-#: A pseudo-label needs this probability. The cut keeps this share of the good held-out documents and
-#: is this high at most: a document goes only if it is most likely bad.
-SURE, KEEP_GOOD, MAX_CUT = 0.95, 0.998, 0.15
+#: A pseudo-label needs this probability. The cut is this one if no other is better by more than one document.
+SURE, BALANCED = 0.95, 0.5
 WORD_SLOTS, META_SLOTS = 128, 64
 
 _MARKS = b"#$%&*!|@<>{}[]=+_~^\\/"
@@ -136,6 +135,25 @@ class Logistic:
         return 1 / (1 + np.exp(-self.margin(x)))
 
 
+def balanced_cut(scores: np.ndarray, good: np.ndarray) -> float:
+    """The cut nearest to BALANCED whose mean F1 of both classes is the best one, or less than that by
+    one document of the rarer class at most: so no single label moves it."""
+    if not 0 < good.sum() < len(good):
+        return BALANCED
+    order = np.argsort(scores, kind="stable")
+    s, g = scores[order], good[order]
+    # Cut number i rejects the i lowest scores; equal scores are not parted.
+    lost = np.concatenate([[0], np.cumsum(g)])
+    caught = np.arange(len(s) + 1) - lost
+    n_good, n_bad = lost[-1], caught[-1]
+    wrong = lost + (n_bad - caught)
+    f1 = ((n_good - lost) * 2 / ((n_good - lost) * 2 + wrong) + caught * 2 / np.maximum(caught * 2 + wrong, 1)) / 2
+    low, high = np.concatenate([[0.0], s]), np.concatenate([s, [1.0]])
+    near = np.where((low < BALANCED) & (high >= BALANCED), BALANCED, (low + high) / 2)
+    fair = (low < high) & (f1 >= f1[low < high].max() - 0.5 / min(n_good, n_bad))
+    return float(near[fair][np.abs(near[fair] - BALANCED).argmin()])
+
+
 class CoTrained:
     """Both views, their calibrated combination, and the cut."""
 
@@ -162,8 +180,7 @@ class CoTrained:
         margins = np.stack([m.margin(x[held]) for m, x in zip(self.models, seen, strict=True)], 1)
         truth = y[held]
         self.combined = Logistic(margins, truth, ridge=0.1)
-        good = np.sort(self.combined.predict(margins)[truth == 1])
-        self.cut = min(MAX_CUT, float(good[int((1 - KEEP_GOOD) * len(good))]) * (1 - 1e-9)) if len(good) else MAX_CUT
+        self.cut = balanced_cut(self.combined.predict(margins), truth == 1)
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         margins = np.stack([self.models[0].margin(text), self.models[1].margin(meta)], 1)

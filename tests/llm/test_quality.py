@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -46,3 +47,29 @@ def test_edges(spark):
     assert quality.keep_good(worded, model).count() > 0
     assert quality.score_quality(docs, model).count() == 5
     assert quality.score_quality(docs.select("doc_id", "text").limit(0), model).count() == 0
+
+
+def test_cut_is_balanced_and_no_single_label_moves_it():
+    rng = np.random.default_rng(1)
+    p = np.concatenate([rng.beta(8, 1, 900), rng.beta(1, 4, 300)])
+    good = rng.random(1200) < p
+    cut = quality.balanced_cut(p, good)
+    assert 0.35 < cut < 0.65
+    # A few wrong labels change next to nothing.
+    wrong = good.copy()
+    wrong[np.argsort(p)[:3]] = True
+    assert abs(quality.balanced_cut(p, wrong) - cut) < 0.05
+    # Scores that are off are corrected.
+    assert quality.balanced_cut(p**4, good) < 0.3
+    assert quality.balanced_cut(p, np.ones(1200, bool)) == quality.BALANCED
+
+
+def test_likely_bad_documents_go(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held = "crc32(cast(doc_id as string)) % 4 = 1"
+    model = quality.train(docs, labels.where(f"NOT {held}"))
+    rows = quality.score_quality(docs, model).join(labels.where(held), "doc_id").collect()
+    lost = [not r["kept"] for r in rows if r["quality"] == 1]
+    left = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(lost) / len(lost) < 0.01 and sum(left) / len(left) < 0.04
