@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import (
+    divergence,
     embedding_dedup,
     exact_dedup,
     language_id,
@@ -219,3 +220,51 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score_quality(docs, model)
+
+
+@query
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source of a language lies from the others and from the language."""
+    return divergence.divergence_audit(documents(spark, sf_dir))
+
+
+ORACLE["op11_divergence_audit"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), k AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(t)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 30
+), v AS (
+  SELECT l.lang, count(k.term) AS V FROM (SELECT DISTINCT lang FROM g) l LEFT JOIN k USING (lang) GROUP BY l.lang
+), c AS (
+  SELECT o.lang, o.source, o.term, count(*) AS cnt
+  FROM (SELECT lang, source, unnest(t) AS term FROM d) o JOIN k USING (lang, term) GROUP BY ALL
+), x AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.cnt, 0) AS cnt
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+), n AS (
+  SELECT g.lang, g.source, coalesce(sum(c.cnt), 0) AS N FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT x.*, 1 + (1000000000::HUGEINT * (cnt + 5)) // (n.N + 5 * v.V) AS p
+  FROM x JOIN n USING (lang, source) JOIN v USING (lang)
+), q AS (
+  SELECT x.lang, x.term, 1 + (1000000000::HUGEINT * (sum(x.cnt) + 5)) // (any_value(l.NL) + 5 * any_value(v.V)) AS q
+  FROM x JOIN (SELECT lang, sum(N) AS NL FROM n GROUP BY lang) l USING (lang) JOIN v USING (lang) GROUP BY ALL
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q USING (lang, term) WHERE p.cnt > 0 AND p.p > q.q
+), s AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM s WHERE part = 'pair' OR rank <= 50
+"""
