@@ -17,6 +17,7 @@ from tessella.llm import (
     pii,
     quality,
     suffix_dedup,
+    toxicity,
 )
 
 QUERIES: dict = {}
@@ -268,3 +269,13 @@ WITH d AS (
 )
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM s WHERE part = 'pair' OR rank <= 50
 """
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from four of five labelled documents."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out)
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "lang_guess")
