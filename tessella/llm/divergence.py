@@ -37,6 +37,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.llm.components import cut
+
 #: Fixed values of the contract: term pattern, minimum documents, smoothing, scale, ranks of part `term`.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,13 +70,12 @@ def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
         F.regexp_extract_all(F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER), F.lit(TERM), 0).alias("t"),
     )
-    groups = d.select("lang", "source").distinct()
     # Occurrences and rows in one pass: every term once per occurrence, and once more per row.
     facts = (
         d.select(
             "lang",
             "source",
-            F.explode(
+            F.explode_outer(
                 F.concat(
                     F.transform("t", lambda w: F.struct(w.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("r"))),
                     F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("r"))),
@@ -82,8 +83,13 @@ def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
             ).alias("x"),
         )
         .groupBy("lang", "source", F.col("x.term").alias("term"))
-        .agg(F.sum("x.n").alias("count"), F.sum("x.r").alias("rows"))
+        .agg(F.coalesce(F.sum("x.n"), F.lit(0)).alias("count"), F.coalesce(F.sum("x.r"), F.lit(0)).alias("rows"))
     )
+    # Texts are read and split once: every later table derives from these counts, written in the
+    # shared checkpoint folder. A row without terms leaves its group a row with a null term.
+    facts = cut(facts)
+    groups = facts.select("lang", "source").distinct()
+    facts = facts.where(F.col("term").isNotNull())
     kept = (
         facts.groupBy("lang", "term")
         .agg(F.sum("rows").alias("rows"), F.sum("count").alias("lang_count"))
@@ -99,10 +105,11 @@ def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
         .select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V"))
         .withColumn("p0", _price("0", "N", "V"))
     )
+    groups = cut(groups)
     langs = groups.groupBy("lang").agg(F.sum("N").alias("NL"), F.first("V").alias("V"))
     kept = kept.join(langs, "lang").select("lang", "term", "lang_count", _price("lang_count", "NL", "V").alias("q"))
     entries = entries.join(groups, ["lang", "source"]).select("lang", "source", "term", "count", _price("count", "N", "V").alias("p"))
-    return groups, entries, kept
+    return groups, cut(entries), kept
 
 
 def pair_part(groups: DataFrame, entries: DataFrame) -> DataFrame:
