@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import (
+    conversation_repair,
     divergence,
     embedding_dedup,
     exact_dedup,
@@ -279,3 +280,9 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out)
     scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "lang_guess")
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every damaged conversation (no SQL: tested against exhaustive search)."""
+    return conversation_repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
