@@ -10,7 +10,8 @@ X^T X holds every joint table n_{g,h}(a, b) = #terms with level a in g and b in
 divergence of g and h is priced cell by cell: sum over (a, b) of n(a, b) * |p_g(a) - p_h(b)|.
 Most cells have a zero level on one side, so the product is taken only over the nonzero
 indicators (a join on the term, partially aggregated per task: the blocks of the product, summed
-by the final aggregation), and the zero-level cells are priced from each group's level marginals:
+by the final aggregation), and the zero-level cells are priced from each group's level marginals (the nonzero cells are
+priced as the product forms them, so no task ships more than one row per pair of groups):
 
     value(g, h) = S(g, h) + S(h, g) + (V - M_g - M_h) * |p_g(0) - p_h(0)|
                   + sum over nonzero cells n(a, b) * corr(a, b)
@@ -70,20 +71,18 @@ def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
         F.regexp_extract_all(F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER), F.lit(TERM), 0).alias("t"),
     )
-    # Occurrences and rows in one pass: every term once per occurrence, and once more per row.
+    # One row per distinct term of a row with its count there: the sorted terms of the row, cut
+    # where a term differs from the one before.
+    starts = F.expr("CASE WHEN size(s) = 0 THEN array() ELSE filter(sequence(0, size(s) - 1), i -> i = 0 OR s[i] != s[i - 1]) END")
+    runs = F.expr(
+        "transform(st, (i, k) -> named_struct('term', s[i], 'n', CAST(coalesce(get(st, k + 1), size(s)) - i AS BIGINT)))"
+    )
     facts = (
-        d.select(
-            "lang",
-            "source",
-            F.explode_outer(
-                F.concat(
-                    F.transform("t", lambda w: F.struct(w.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("r"))),
-                    F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("r"))),
-                )
-            ).alias("x"),
-        )
+        d.select("lang", "source", F.array_sort("t").alias("s"))
+        .select("lang", "source", "s", starts.alias("st"))
+        .select("lang", "source", F.explode_outer(runs).alias("x"))
         .groupBy("lang", "source", F.col("x.term").alias("term"))
-        .agg(F.coalesce(F.sum("x.n"), F.lit(0)).alias("count"), F.coalesce(F.sum("x.r"), F.lit(0)).alias("rows"))
+        .agg(F.coalesce(F.sum("x.n"), F.lit(0)).alias("count"), F.count("x.term").alias("rows"))
     )
     # Texts are read and split once: every later table derives from these counts, written in the
     # shared checkpoint folder. A row without terms leaves its group a row with a null term.
@@ -141,26 +140,21 @@ def pair_part(groups: DataFrame, entries: DataFrame) -> DataFrame:
         .where("kind = 1")
         .select("lang", "source", "item", (c * F.col("cm") - F.col("cmp") + (F.col("tmp") - F.col("cmp")) - c * (F.col("tm") - F.col("cm"))).alias("S"))
     )
-    # The product over nonzero indicators: a join on the term, summed by cell.
+    # The product over nonzero indicators: a join on the term. Each joint-table cell (a, b) is
+    # priced as the product forms it, so the partial aggregation of every task (a block of the
+    # product) is one row per pair of groups, and the final aggregation sums the blocks.
     left = entries.select("lang", "term", "source", F.col("p").alias("pa"))
     right = entries.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("pb"))
-    cells = (
+    fix = (
         left.join(right, ["lang", "term"])
         .where(F.col("source") != F.col("item"))
-        .groupBy("lang", "source", "item", "pa", "pb")
-        .agg(F.count("*").alias("n"))
-    )
-    fix = (
-        cells.join(g.select("lang", "source", "p0"), ["lang", "source"])
+        .join(g.select("lang", "source", "p0"), ["lang", "source"])
         .join(h, ["lang", "item"])
         .groupBy("lang", "source", "item")
         .agg(
             F.sum(
-                F.col("n")
-                * (
-                    F.abs(F.col("pa") - F.col("pb")) - F.abs(F.col("pa") - F.col("h0"))
-                    - F.abs(F.col("p0") - F.col("pb")) + F.abs(F.col("p0") - F.col("h0"))
-                )
+                F.abs(F.col("pa") - F.col("pb")) - F.abs(F.col("pa") - F.col("h0"))
+                - F.abs(F.col("p0") - F.col("pb")) + F.abs(F.col("p0") - F.col("h0"))
             ).alias("C")
         )
     )
