@@ -103,9 +103,13 @@ def _changed(changes: dict[int, list[str]]) -> list[list[str]]:
     return [changes.get(k, tags) for k, tags in enumerate(TAGS)]
 
 
-def _tree_step(name: str, step, tags: list[list[str]], frame: list[str] = FRAME, more: str = "") -> None:
+def _tree_step(name: str, step, tags: list[list[str]], frame: list[str] = FRAME, more: str = "", whole=None) -> None:
+    """A step on the node arrays, or `whole`, a step on the table of pages."""
+
     @register(name, _tag_counts_sql(tags, frame, more))
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if whole is not None:
+            return _tag_counts(whole(parsed(spark, sf_dir)))
         return _tag_counts(parsed(spark, sf_dir).withColumn("nodes", step(F.col("nodes"))))
 
 
@@ -124,10 +128,11 @@ _tree_step("b8_dates", H.drop_date_text, _changed({6: ["div", "p", "-text"]}))
 # The body itself goes when there is nothing in it.
 _tree_step(
     "b9_empty_leaves",
-    H.drop_empty_leaves,
+    None,
     _changed({10: ["p", "-text"]}),
     ["html", "head", "title", "-text"],
     " UNION ALL SELECT DISTINCT doc_id, 'body' FROM frag",
+    whole=H.drop_empty_nodes,
 )
 _tree_step("b10_unnest", H.unnest_same_tag, _changed({1: ["div", "-text"]}))
 _tree_step(
@@ -182,9 +187,10 @@ SELECT doc_id, 'audio', url, 'http://a.example.net/' || doc_id || '.mp3', NULL,
 def video_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.replace(F.replace(F.lit(_FILMS), F.lit("{L}"), _escaped(F.col("text"))), F.lit("{I}"), F.col("doc_id").cast("string"))
     pages = docs_web(spark, sf_dir).select("doc_id", "url", html.alias("html"))
-    nodes = build_dom_nodes(pages).select("doc_id", "url", "nodes", F.explode("nodes").alias("n"))
-    record = H.media_record(F.col("n"), F.col("url"), F.col("nodes"))
-    found = nodes.filter(F.col("n.tag").isin("video", "audio")).select("doc_id", record.alias("r")).filter("r IS NOT NULL")
+    nodes = build_dom_nodes(pages).withColumn("inner", H.inner_sources(F.col("nodes")))
+    nodes = nodes.select("doc_id", "url", F.explode(F.arrays_zip("nodes", "inner")).alias("x")).select("doc_id", "url", "x.*")
+    record = H.media_record(F.col("nodes"), F.col("url"), F.col("inner"))
+    found = nodes.filter(F.col("nodes.tag").isin("video", "audio")).select("doc_id", record.alias("r")).filter("r IS NOT NULL")
     return found.select("doc_id", *[F.col(f"r.{c}").alias(c) for c in ("tag", "document_url", "src", "width", "height")])
 
 

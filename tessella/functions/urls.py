@@ -49,9 +49,9 @@ def usable_source(value: Column) -> Column:
 
 def image_source(attrs: Column) -> Column:
     """First usable address among the known image attributes of an attribute map."""
-    names = F.array(*map(F.lit, IMAGE_SOURCE_ATTRIBUTES))
-    values = F.transform(names, lambda name: F.element_at(attrs, name))
-    return F.get(F.filter(values, _is_usable), F.lit(0))
+    # A coalesce rather than a lambda over the names: used inside another lambda, a nested one
+    # would keep the column from an Arrow function's input (see functions.intervals).
+    return F.coalesce(*(usable_source(F.element_at(attrs, name)) for name in IMAGE_SOURCE_ATTRIBUTES))
 
 
 def filename_text(src: Column) -> Column:

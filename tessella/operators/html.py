@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tessella import constants as C
 from tessella import schema
+from tessella.functions import intervals as IV
 from tessella.functions import text as T
 from tessella.functions import urls as U
-from tessella.functions.arrays import let, repeated
+from tessella.functions.arrays import let
 
 TEXT_TAG = "-text"
 
@@ -50,17 +51,39 @@ def _numbers(nodes: Column, condition) -> Column:
     return F.transform(F.filter(nodes, condition), _no)
 
 
+# Nodes carry their pre-order number and the number of their last descendant (`end`), so every
+# "inside" or "parent" question is answered for a whole page at once by tessella.functions.intervals
+# (one sweep over the page, never a search of one node in a list of others). Those are Arrow column
+# functions; they take arrays of numbers and flags built here and are never called inside a lambda.
+
+
+def _nos(nodes: Column) -> Column:
+    return F.transform(nodes, _no)
+
+
+def _ends(nodes: Column) -> Column:
+    return F.transform(nodes, lambda n: F.coalesce(n["end"], _no(n)))
+
+
+def _parents(nodes: Column) -> Column:
+    return F.transform(nodes, _parent_no)
+
+
+def _flags(nodes: Column, condition) -> Column:
+    return F.transform(nodes, lambda n: F.coalesce(condition(n), F.lit(False)))
+
+
+def _drop_flagged(nodes: Column, drop: Column) -> Column:
+    """The nodes whose flag in the aligned array `drop` is false."""
+    pairs = F.zip_with(nodes, drop, lambda n, d: F.struct(n.alias("n"), d.alias("d")))
+    return F.transform(F.filter(pairs, lambda x: ~F.coalesce(x["d"], F.lit(False))), lambda x: x["n"])
+
+
 def _without_subtrees(nodes: Column, condition) -> Column:
     """Nodes that are not, and are not inside, a node that meets the condition."""
-    return let(
-        nodes,
-        lambda all_nodes: let(
-            _numbers(all_nodes, condition),
-            lambda roots: F.when(F.size(roots) == 0, all_nodes).otherwise(
-                F.filter(all_nodes, lambda n: ~F.arrays_overlap(n["path"]["no"], roots))
-            ),
-        ),
-    )
+    roots = _flags(nodes, condition)
+    inside = IV.strictly_inside(_nos(nodes), _ends(nodes), roots)
+    return _drop_flagged(nodes, F.zip_with(roots, inside, lambda r, i: r | i))
 
 
 # --- Tree simplification --------------------------------------------------------
@@ -72,29 +95,21 @@ def drop_matching(nodes: Column, classes: list[str] = C.DROPPED_CLASSES) -> Colu
 
 
 def _replace_one(nodes: Column, word: str, text: str) -> Column:
-    def replaced(all_nodes: Column) -> Column:
-        def apply(roots: Column) -> Column:
-            def as_text(n: Column) -> Column:
-                parent = F.slice(n["path"], 1, F.size(n["path"]) - 1)
-                leaf = F.array(F.struct(F.lit(TEXT_TAG).alias("tag"), _no(n).alias("no")))
-                changed = (
-                    n.withField("tag", F.lit(TEXT_TAG))
-                    .withField("path", F.concat(parent, leaf))
-                    .withField("text", F.lit(text))
-                )
-                return F.when(F.array_contains(roots, _no(n)), changed).otherwise(n)
-
-            def outside(n: Column) -> Column:
-                above = F.slice(n["path"]["no"], 1, F.size(n["path"]) - 1)
-                return ~F.arrays_overlap(above, roots)
-
-            return F.when(F.size(roots) == 0, all_nodes).otherwise(
-                F.transform(F.filter(all_nodes, outside), as_text)
-            )
-
-        return let(_numbers(all_nodes, lambda n: _has_class(n, [word])), apply)
+    roots = _flags(nodes, lambda n: _has_class(n, [word]))
+    inside = IV.strictly_inside(_nos(nodes), _ends(nodes), roots)
+
+    def as_text(n: Column) -> Column:
+        parent = F.slice(n["path"], 1, F.size(n["path"]) - 1)
+        leaf = F.array(F.struct(F.lit(TEXT_TAG).alias("tag"), _no(n).alias("no")))
+        return (
+            n.withField("tag", F.lit(TEXT_TAG))
+            .withField("path", F.concat(parent, leaf))
+            .withField("text", F.lit(text))
+            .withField("end", _no(n))
+        )
 
-    return let(nodes, replaced)
+    marked = F.zip_with(nodes, roots, lambda n, r: F.when(r, as_text(n)).otherwise(n))
+    return _drop_flagged(marked, inside)
 
 
 def replace_matching(nodes: Column, texts: dict[str, str] = C.REPLACED_CLASSES) -> Column:
@@ -140,110 +155,79 @@ def strip_special_divs(nodes: Column, names: list[str] = C.SPECIAL_DIV_NAMES) ->
 
 def drop_date_text(nodes: Column) -> Column:
     """Remove the texts directly in a div whose class holds `date`."""
-    dated = lambda n: (n["tag"] == "div") & F.coalesce(
-        F.element_at(n["attrs"], "class").contains("date"), F.lit(False)
-    )
-    return let(
-        nodes,
-        lambda all_nodes: let(
-            _numbers(all_nodes, dated),
-            lambda divs: F.when(F.size(divs) == 0, all_nodes).otherwise(
-                F.filter(
-                    all_nodes,
-                    lambda n: ~(_is_text(n) & F.coalesce(F.array_contains(divs, _parent_no(n)), F.lit(False))),
-                )
-            ),
-        ),
+    dated = _flags(
+        nodes, lambda n: (n["tag"] == "div") & F.coalesce(F.element_at(n["attrs"], "class").contains("date"), F.lit(False))
     )
+    under = IV.parent_in(_parents(nodes), _nos(nodes), dated)
+    return _drop_flagged(nodes, F.zip_with(nodes, under, lambda n, u: _is_text(n) & u))
+
 
+def inner_sources(nodes: Column) -> Column:
+    """For every node, the address of the first `source` element inside it with one, else NULL."""
+    sources = _flags(nodes, lambda n: (n["tag"] == "source") & (F.element_at(n["attrs"], "src") != ""))
+    first = IV.first_inside(_nos(nodes), _ends(nodes), sources)
+    return F.transform(first, lambda k: F.when(k >= 0, F.element_at(F.get(nodes, k.cast("int"))["attrs"], "src")))
 
-def media_source(node: Column, all_nodes: Column) -> Column:
+
+def media_source(node: Column, inner_src: Column) -> Column:
     """Address of a media node; NULL for anything else.
 
-    Video and audio use their own `src`, else the first `source` element inside.
+    Video and audio use their own `src`, else the first `source` element inside (`inner_src`,
+    from inner_sources).
     """
     own = F.when(F.element_at(node["attrs"], "src") != "", F.element_at(node["attrs"], "src"))
-    inner = F.get(
-        F.filter(
-            F.transform(
-                F.filter(
-                    all_nodes,
-                    lambda c: (c["tag"] == "source") & F.array_contains(c["path"]["no"], _no(node)),
-                ),
-                lambda c: F.element_at(c["attrs"], "src"),
-            ),
-            lambda s: s != "",
-        ),
-        F.lit(0),
-    )
     return F.when(node["tag"] == "img", U.image_source(node["attrs"])).when(
-        node["tag"].isin("video", "audio"), U.usable_source(F.coalesce(own, inner))
+        node["tag"].isin("video", "audio"), U.usable_source(F.coalesce(own, inner_src))
     )
 
 
-def drop_empty_leaves(nodes: Column) -> Column:
+def drop_empty_leaves(nodes: Column, inner: Column) -> Column:
     """Remove elements with neither text nor sourced media in them.
 
     A blank text is kept only inside an element that stays, because it may separate
     its neighbours. Figures and pictures are looked into, other media are leaves.
+    `inner` is inner_sources(nodes), made in an earlier projection (see drop_empty_nodes).
     """
     leaf_media = [t for t in C.MEDIA_TAGS if t not in ("figure", "picture")]
+    alive = F.zip_with(
+        nodes,
+        inner,
+        lambda n, src: F.coalesce((_is_text(n) & ~_is_blank(n["text"])) | media_source(n, src).isNotNull(), F.lit(False)),
+    )
+    codes = IV.live_codes(_nos(nodes), _ends(nodes), _parents(nodes), alive, _flags(nodes, lambda n: n["tag"].isin(leaf_media)))
+    drop = F.zip_with(
+        nodes,
+        codes,
+        lambda n, c: (c == 4) | ~F.when(_is_text(n), c >= 2).otherwise((c % 2 == 1) | (n["tag"] == "html")),
+    )
+    return _drop_flagged(nodes, drop)
 
-    def pruned(all_nodes: Column) -> Column:
-        outside_media = F.filter(
-            all_nodes,
-            lambda n: ~F.exists(F.slice(n["path"], 1, F.size(n["path"]) - 1), lambda e: e["tag"].isin(leaf_media)),
-        )
-
-        def alive(n: Column) -> Column:
-            return (_is_text(n) & ~_is_blank(n["text"])) | media_source(n, all_nodes).isNotNull()
-
-        def keep(candidates: Column) -> Column:
-            return let(
-                F.array_distinct(F.flatten(F.transform(F.filter(candidates, alive), lambda n: n["path"]["no"]))),
-                lambda live: F.filter(
-                    candidates,
-                    lambda n: F.when(_is_text(n), F.array_contains(live, _parent_no(n))).otherwise(
-                        F.array_contains(live, _no(n)) | (n["tag"] == "html")
-                    ),
-                ),
-            )
-
-        return let(outside_media, keep)
 
-    return let(nodes, pruned)
+def drop_empty_nodes(pages_nodes: DataFrame, column: str = "nodes") -> DataFrame:
+    """drop_empty_leaves on a table: the inner sources first, in a projection of their own, as
+    Catalyst does not take an Arrow function apart from another whose result it reads."""
+    inner = pages_nodes.withColumn("_inner", inner_sources(F.col(column)))
+    return inner.withColumn(column, drop_empty_leaves(F.col(column), F.col("_inner"))).drop("_inner")
 
 
 def unnest_same_tag(nodes: Column) -> Column:
     """Collapse an element whose only content is one element of the same tag."""
+    nos, parents = _nos(nodes), _parents(nodes)
+    elements = IV.child_count(parents, nos, _flags(nodes, lambda n: ~_is_text(n)))
+    texts = IV.child_count(parents, nos, _flags(nodes, lambda n: _is_text(n) & ~_is_blank(n["text"])))
+    same = IV.child_count(
+        parents, nos, _flags(nodes, lambda n: ~_is_text(n) & (n["tag"] == F.try_element_at(n["path"], F.lit(-2))["tag"]))
+    )
+    outer = F.zip_with(
+        F.zip_with(elements, texts, lambda e, t: (e == 1) & (t == 0)), same, lambda one, s: one & (s == 1)
+    )
+    hits = IV.path_flags(F.transform(nodes, lambda n: n["path"]["no"]), nos, outer)
 
-    def collapsed(all_nodes: Column) -> Column:
-        elements = F.filter(all_nodes, lambda n: ~_is_text(n))
-        parents = F.sort_array(F.filter(F.transform(elements, _parent_no), lambda p: p.isNotNull()))
-        with_text = F.transform(
-            F.filter(all_nodes, lambda n: _is_text(n) & ~_is_blank(n["text"])), _parent_no
-        )
-
-        def outer_numbers(one_child: Column) -> Column:
-            same = F.filter(
-                elements,
-                lambda n: (n["tag"] == F.try_element_at(n["path"], F.lit(-2))["tag"])
-                & F.array_contains(one_child, _parent_no(n)),
-            )
-            return F.transform(same, _parent_no)
-
-        def without(outer: Column) -> Column:
-            return F.when(F.size(outer) == 0, all_nodes).otherwise(
-                F.transform(
-                    F.filter(all_nodes, lambda n: ~F.array_contains(outer, _no(n))),
-                    lambda n: n.withField("path", F.filter(n["path"], lambda e: ~F.array_contains(outer, e["no"]))),
-                )
-            )
-
-        single = F.array_except(F.array_except(parents, repeated(parents)), with_text)
-        return let(let(single, outer_numbers), without)
+    def unwrapped(n: Column, h: Column) -> Column:
+        entries = F.zip_with(n["path"], h, lambda e, f: F.struct(e.alias("e"), f.alias("f")))
+        return n.withField("path", F.transform(F.filter(entries, lambda x: ~x["f"]), lambda x: x["e"]))
 
-    return let(nodes, collapsed)
+    return _drop_flagged(F.zip_with(nodes, hits, unwrapped), outer)
 
 
 def _islands(nodes: Column, starts_new, build) -> Column:
@@ -301,7 +285,10 @@ def simplify(pages_nodes: DataFrame) -> DataFrame:
     One projection per step keeps each expression small for the analyzer.
     """
     for step in SIMPLIFICATIONS:
-        pages_nodes = pages_nodes.withColumn("nodes", step(F.col("nodes")))
+        if step is drop_empty_leaves:
+            pages_nodes = drop_empty_nodes(pages_nodes)
+        else:
+            pages_nodes = pages_nodes.withColumn("nodes", step(F.col("nodes")))
     return pages_nodes
 
 
@@ -333,9 +320,10 @@ def image_record(attrs: Column, page_url: Column, raw_src: Column) -> Column:
     return let(U.absolutize(page_url, raw_src), record)
 
 
-def media_record(node: Column, page_url: Column, all_nodes: Column) -> Column:
-    """Record of an image, video or audio node, NULL without a valid address."""
-    raw = media_source(node, all_nodes)
+def media_record(node: Column, page_url: Column, inner_src: Column) -> Column:
+    """Record of an image, video or audio node, NULL without a valid address; `inner_src` is the
+    node's entry of inner_sources."""
+    raw = media_source(node, inner_src)
     src = U.absolutize(page_url, raw)
     return F.when(
         U.is_valid_url(src),

@@ -17,7 +17,8 @@ POINTERS = T.StructType(
 PATH = T.ArrayType(T.StructType([T.StructField("tag", T.StringType()), T.StructField("no", T.IntegerType())]))
 
 # One element or text leaf of a page. `path` runs from the root to the node itself;
-# `figcaption` is the caption text inside the node or the figure around it.
+# `figcaption` is the caption text inside the node or the figure around it. `end` is the
+# number of its last descendant (its own for a leaf): y is inside x when x.no < y.no <= x.end.
 DOM_NODE = T.StructType(
     [
         T.StructField("pos", T.IntegerType()),
@@ -28,6 +29,7 @@ DOM_NODE = T.StructType(
         T.StructField("n_children", T.IntegerType()),
         T.StructField("figcaption", T.StringType()),
         T.StructField("source_src", T.StringType()),
+        T.StructField("end", T.IntegerType()),
     ]
 )
 DOM_NODES = T.ArrayType(DOM_NODE)

@@ -141,7 +141,15 @@ def parse_nodes(html: str) -> list[dict]:
     parser = _NodeRows()
     parser.feed(html)
     parser.close()
-    return parser.rows
+    rows = parser.rows
+    # Children come after their parents, so one backward pass gives every subtree's last number.
+    for row in rows:
+        row["end"] = row["pos"]
+    for row in reversed(rows):
+        if len(row["path"]) > 1:
+            parent = rows[row["path"][-2]["no"]]
+            parent["end"] = max(parent["end"], row["end"])
+    return rows
 
 
 def build_dom_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
