@@ -140,6 +140,47 @@ def _live(no: pa.Array, end: pa.Array, parent: pa.Array, alive: pa.Array, leaf:
     return _lists(no, np.where(hidden, 4, code), pa.int64(), offsets)
 
 
+def last_inside_np(no: np.ndarray, end: np.ndarray, _unused: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each node: the index in its page of the last node in [no, end] (itself for a leaf)."""
+    page = _pages(offsets) * SPAN
+    last = np.searchsorted(page + no, page + np.maximum(end, no), side="right") - 1
+    return last - (offsets[:-1][_pages(offsets)] if len(no) else 0)
+
+
+def _caption_texts(no: pa.Array, end: pa.Array, holder: pa.Array, text: pa.Array) -> pa.Array:
+    """list<string> per node: the text of the first caption of its page (in caption order) that is
+    not empty and whose holder is the node or a node around it; else null.
+
+    Captions are (holder number, text) lists per page. One pass over the nodes of a page that has
+    captions, with a stack of the holders around the current node: linear in the nodes."""
+    nos, offsets = _flat(no)
+    ends, _ = _flat(end)
+    holders, caption_offsets = _flat(holder)
+    if isinstance(text, pa.ChunkedArray):
+        text = text.combine_chunks()
+    texts = pc.list_flatten(text).to_pylist()
+    out: list = [None] * len(nos)
+    for p in range(len(offsets) - 1):
+        first: dict = {}
+        for k in range(caption_offsets[p], caption_offsets[p + 1]):
+            if holders[k] >= 0 and texts[k] and holders[k] not in first:
+                first[holders[k]] = k
+        if not first:
+            continue
+        around: list = []
+        for i in range(offsets[p], offsets[p + 1]):
+            while around and around[-1][0] < nos[i]:
+                around.pop()
+            best = around[-1][1] if around else None
+            own = first.get(nos[i])
+            if own is not None and (best is None or own < best):
+                best = own
+            if best is not None:
+                out[i] = texts[best]
+            around.append((ends[i], best))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), pa.int32()), pa.array(out, pa.string()), mask=no.is_null() if not isinstance(no, pa.ChunkedArray) else no.combine_chunks().is_null())
+
+
 _TYPES = {pa.bool_(): "array<boolean>", pa.int64(): "array<bigint>"}
 
 
@@ -168,6 +209,18 @@ _has_inside = _udf(has_inside_np, pa.bool_())
 _first_inside = _udf(first_inside_np, pa.int64())
 _parent_in = _udf(parent_in_np, pa.bool_())
 _child_count = _udf(child_count_np, pa.int64())
+_last_inside = _udf(last_inside_np, pa.int64())
+_caption_texts_udf = _lazy(_caption_texts, "array<string>")
+
+
+def last_inside(no: Column, end: Column) -> Column:
+    """array<bigint>: 0-based index of the last node inside each node (itself for a leaf)."""
+    return _last_inside(no, end, no)
+
+
+def caption_texts(no: Column, end: Column, holders: Column, texts: Column) -> Column:
+    """array<string>: per node, the first non-empty caption whose holder is the node or around it."""
+    return _caption_texts_udf(no, end, holders, texts)
 
 
 _entries_flagged = _lazy(entries_flagged, "array<array<boolean>>")

@@ -338,81 +338,91 @@ def media_record(node: Column, page_url: Column, inner_src: Column) -> Column:
     )
 
 
-def figure_captions(nodes: Column) -> Column:
-    """Captions of a page: number of the figure (or the caption's parent) and the text."""
-    return let(
-        nodes,
-        lambda all_nodes: F.transform(
-            F.filter(all_nodes, lambda n: n["tag"] == "figcaption"),
-            lambda c: F.struct(
-                F.coalesce(
-                    F.get(F.reverse(F.filter(c["path"], lambda e: e["tag"] == "figure")), F.lit(0))["no"],
-                    _parent_no(c),
-                ).alias("no"),
-                F.array_join(
-                    F.filter(
-                        F.transform(
-                            F.filter(
-                                all_nodes, lambda t: _is_text(t) & F.array_contains(t["path"]["no"], _no(c))
-                            ),
-                            lambda t: T.strip_blanks(t["text"]),
-                        ),
-                        lambda x: x != "",
+def figure_captions(nodes: Column, last: Column) -> Column:
+    """Captions of a page: number of the figure (or the caption's parent) and the text.
+
+    `last` is intervals.last_inside of the nodes: the texts of a caption are the slice of the
+    array between it and its last descendant, so each caption reads only its own subtree.
+    `nodes` must be a column of the table, as it is read inside a lambda.
+    """
+    spans = F.transform(
+        F.zip_with(nodes, last, lambda n, l: F.struct(n.alias("n"), l.alias("l"))), lambda x, i: x.withField("i", i)
+    )
+    return F.transform(
+        F.filter(spans, lambda x: x["n"]["tag"] == "figcaption"),
+        lambda c: F.struct(
+            F.coalesce(
+                F.get(F.reverse(F.filter(c["n"]["path"], lambda e: e["tag"] == "figure")), F.lit(0))["no"],
+                _parent_no(c["n"]),
+            ).alias("no"),
+            F.array_join(
+                F.filter(
+                    F.transform(
+                        F.filter(F.slice(nodes, c["i"] + 2, (c["l"] - c["i"]).cast("int")), _is_text),
+                        lambda t: T.strip_blanks(t["text"]),
                     ),
-                    " ",
-                ).alias("caption"),
-            ),
+                    lambda x: x != "",
+                ),
+                " ",
+            ).alias("caption"),
         ),
     )
 
 
-def caption(node: Column, captions: Column) -> Column:
+def caption(node: Column, figure_caption: Column) -> Column:
     """Caption of an image: that of its figure, else alt, else title, else ''."""
-    figures = F.filter(captions, lambda c: F.array_contains(node["path"]["no"], c["no"]) & (c["caption"] != ""))
     return F.coalesce(
-        F.get(figures, F.lit(0))["caption"],
+        figure_caption,
         F.nullif(F.element_at(node["attrs"], "alt"), F.lit("")),
         F.nullif(F.element_at(node["attrs"], "title"), F.lit("")),
         F.lit(""),
     )
 
 
-def keep_text_and_images(nodes: Column, page_url: Column) -> Column:
+def keep_text_and_images(nodes: Column, page_url: Column, captions: Column) -> Column:
     """Leaves of the document: formatted texts, and images that have a record.
 
-    Gives structs of kind, text, src, caption, meta and path. Empty texts are gone.
+    Gives structs of kind, text, src, caption, meta and path. Empty texts are gone. `captions`
+    holds, aligned with the nodes, the figure caption of each (see with_captions).
     """
 
-    def leaves(all_nodes: Column) -> Column:
-        def with_captions(captions: Column) -> Column:
-            def leaf(n: Column) -> Column:
-                meta = let(
-                    F.when(n["tag"] == "img", U.image_source(n["attrs"])),
-                    lambda raw: image_record(n["attrs"], page_url, raw),
-                )
-
-                def made(m: Column) -> Column:
-                    is_text = _is_text(n)
-                    return F.struct(
-                        F.when(is_text, F.lit("text")).when(m.isNotNull(), F.lit("image")).alias("kind"),
-                        F.when(is_text, T.format_text(n["text"])).alias("text"),
-                        m["src"].alias("src"),
-                        F.when(m.isNotNull(), caption(n, captions)).alias("caption"),
-                        m.alias("meta"),
-                        n["path"].alias("path"),
-                    )
-
-                return let(meta, made)
-
-            candidates = F.filter(all_nodes, lambda n: _is_text(n) | (n["tag"] == "img"))
-            return F.filter(
-                F.transform(candidates, leaf),
-                lambda n: (n["kind"] == "image") | ((n["kind"] == "text") & (n["text"] != "")),
+    def leaf(x: Column) -> Column:
+        n = x["n"]
+        meta = let(
+            F.when(n["tag"] == "img", U.image_source(n["attrs"])),
+            lambda raw: image_record(n["attrs"], page_url, raw),
+        )
+
+        def made(m: Column) -> Column:
+            is_text = _is_text(n)
+            return F.struct(
+                F.when(is_text, F.lit("text")).when(m.isNotNull(), F.lit("image")).alias("kind"),
+                F.when(is_text, T.format_text(n["text"])).alias("text"),
+                m["src"].alias("src"),
+                F.when(m.isNotNull(), caption(n, x["c"])).alias("caption"),
+                m.alias("meta"),
+                n["path"].alias("path"),
             )
 
-        return let(figure_captions(all_nodes), with_captions)
+        return let(meta, made)
 
-    return let(nodes, leaves)
+    pairs = F.zip_with(nodes, captions, lambda n, c: F.struct(n.alias("n"), c.alias("c")))
+    candidates = F.filter(pairs, lambda x: _is_text(x["n"]) | (x["n"]["tag"] == "img"))
+    return F.filter(
+        F.transform(candidates, leaf),
+        lambda n: (n["kind"] == "image") | ((n["kind"] == "text") & (n["text"] != "")),
+    )
+
+
+def with_captions(pages_nodes: DataFrame, column: str = "nodes", out: str = "_captions") -> DataFrame:
+    """Adds `out`: the figure caption of every node, from one sweep over each page (B18)."""
+    nodes = F.col(column)
+    step = pages_nodes.withColumn("_last", IV.last_inside(_nos(nodes), _ends(nodes)))
+    captions = figure_captions(nodes, F.col("_last"))
+    texts = IV.caption_texts(
+        _nos(nodes), _ends(nodes), F.transform(captions, lambda c: c["no"]), F.transform(captions, lambda c: c["caption"])
+    )
+    return step.withColumn(out, texts).drop("_last")
 
 
 def _tag_strength(tag: Column) -> Column:
@@ -486,7 +496,8 @@ def document_nodes(leaves: Column) -> Column:
 
 
 def extract_leaves(pages_nodes: DataFrame) -> DataFrame:
-    return pages_nodes.withColumn("nodes", keep_text_and_images(F.col("nodes"), F.col("url")))
+    captioned = with_captions(pages_nodes)
+    return captioned.withColumn("nodes", keep_text_and_images(F.col("nodes"), F.col("url"), F.col("_captions"))).drop("_captions")
 
 
 def pack_documents(pages_nodes: DataFrame) -> DataFrame:
