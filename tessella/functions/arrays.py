@@ -18,32 +18,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def empty_strings() -> Column:
-    return F.array().cast("array<string>")
-
-
-def run_lengths(sorted_values: Column) -> Column:
-    """Lengths of the runs of equal values of a sorted array, in order."""
-    return let(
-        sorted_values,
-        lambda s: let(
-            F.array_compact(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i))),
-            lambda starts: F.transform(
-                starts, lambda start, k: F.coalesce(F.get(starts, k + 1), F.size(s)) - start
-            ),
-        ),
-    )
-
-
-def repeated(sorted_values: Column) -> Column:
-    """Every value of a sorted array except the first of its run."""
-    return let(sorted_values, lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))))
-
-
-def int_sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-
-
 def edited(
     items: Column, edits: Column, at: Callable[[Column], Column], change: Callable[[Column, Column], Column]
 ) -> Column:

@@ -184,7 +184,7 @@ def _caption_texts(no: pa.Array, end: pa.Array, holder: pa.Array, text: pa.Array
 _TYPES = {pa.bool_(): "array<boolean>", pa.int64(): "array<bigint>"}
 
 
-def _lazy(function, kind: str):
+def lazy_udf(function, kind: str):
     """The Arrow UDF is made on first use: making one needs an active session.
 
     It is marked nondeterministic, though it is not: a page step refers to its input array
@@ -201,7 +201,7 @@ def _lazy(function, kind: str):
 
 
 def _udf(kernel, kind: pa.DataType):
-    return _lazy(_unary(kernel, kind), _TYPES[kind])
+    return lazy_udf(_unary(kernel, kind), _TYPES[kind])
 
 
 _strictly_inside = _udf(strictly_inside_np, pa.bool_())
@@ -210,7 +210,7 @@ _first_inside = _udf(first_inside_np, pa.int64())
 _parent_in = _udf(parent_in_np, pa.bool_())
 _child_count = _udf(child_count_np, pa.int64())
 _last_inside = _udf(last_inside_np, pa.int64())
-_caption_texts_udf = _lazy(_caption_texts, "array<string>")
+_caption_texts_udf = lazy_udf(_caption_texts, "array<string>")
 
 
 def last_inside(no: Column, end: Column) -> Column:
@@ -223,10 +223,10 @@ def caption_texts(no: Column, end: Column, holders: Column, texts: Column) -> Co
     return _caption_texts_udf(no, end, holders, texts)
 
 
-_entries_flagged = _lazy(entries_flagged, "array<array<boolean>>")
+_entries_flagged = lazy_udf(entries_flagged, "array<array<boolean>>")
 
 
-_live_udf = _lazy(_live, "array<bigint>")
+_live_udf = lazy_udf(_live, "array<bigint>")
 
 
 def live_codes(no: Column, end: Column, parent: Column, alive: Column, leaf: Column) -> Column:

@@ -1,76 +1,35 @@
 """Text-quality metrics (Column -> DOUBLE), each computed inside its row.
 
-Counting n-grams row by row keeps the work where the text already is: an explode of
-one row per character followed by a groupBy would shuffle many times the input.
+Counting n-grams row by row keeps the work where the text already is (in Arrow batches,
+see ngrams): an explode of one row per character would shuffle many times the input.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessella import constants as C
+from tessella.functions import ngrams
 from tessella.functions import text as T
-from tessella.functions.arrays import empty_strings, int_sum, let, repeated, run_lengths
+from tessella.functions.arrays import let
 
 
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def char_ngrams(text: Column, n: int) -> Column:
-    """All windows of n characters.
-
-    A lookahead match slides over the text once; the class in front keeps the second
-    half of a surrogate pair from starting a window.
-    """
-    window = f"(?s)(?=([^\\x{{DC00}}-\\x{{DFFF}}].{{{n - 1}}}))"
-    return F.regexp_extract_all(text, F.lit(window), F.lit(1))
-
-
-def char_repetition_ratio(text: Column, n: int = 10) -> Column:
+def char_repetition_ratio(text: Column, n: int = 10, depth: int = 0) -> Column:
     """Share of the most frequent n-grams of characters.
 
     With D distinct n-grams, R of them repeated, the min(floor(sqrt(D)), R) most
-    frequent ones are added up and divided by the number of all n-grams.
+    frequent ones are added up and divided by the number of all n-grams. With `depth`,
+    of every text in arrays of that depth. Stands in a projection, not in a lambda.
     """
+    return ngrams.char_repetition(text, n, depth)
+
 
-    def ratio(grams: Column) -> Column:
-        def of_repeats(again: Column) -> Column:
-            distinct = F.size(grams) - F.size(again)
-            return let(
-                F.sort_array(run_lengths(again), asc=False),
-                lambda runs: let(
-                    F.least(F.floor(F.sqrt(distinct)).cast("int"), F.size(runs)),
-                    lambda k: _share(int_sum(F.slice(runs, 1, k)) + k, F.size(grams)),
-                ),
-            )
-
-        return let(repeated(grams), of_repeats)
-
-    return let(F.sort_array(char_ngrams(text, n)), ratio)
-
-
-def word_ngrams(words: Column, n: int) -> Column:
-    return let(
-        words,
-        lambda w: F.when(
-            F.size(w) >= n,
-            F.transform(
-                F.sequence(F.lit(0), F.size(w) - n),
-                lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]),
-            ),
-        ).otherwise(empty_strings()),
-    )
-
-
-def word_repetition_ratio(words: Column, n: int = 4) -> Column:
-    """Share of the word n-grams that occur more than once in the text."""
-    return let(
-        F.sort_array(word_ngrams(words, n)),
-        lambda grams: let(
-            repeated(grams),
-            lambda again: _share(F.size(again) + F.size(F.array_distinct(again)), F.size(grams)),
-        ),
-    )
+def word_repetition_ratio(words: Column, n: int = 4, depth: int = 0) -> Column:
+    """Share of the word n-grams that occur more than once in the text; `depth` as above."""
+    return ngrams.word_repetition(words, n, depth)
 
 
 def special_char_ratio(text: Column, chars: str = C.SPECIAL_CHARACTERS) -> Column:

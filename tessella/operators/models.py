@@ -12,34 +12,33 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions import metrics as M
+from tessella.functions import ngrams
 from tessella.functions import text as T
-from tessella.functions.arrays import let, run_lengths
-from tessella.operators.skew import count_rows
 from tessella.sources.storage import settle
 
 UNIT = 1_000_000
 
 
-def _counted(keys: Column) -> Column:
-    """Array of (key, c): the distinct values of an array with their counts."""
-    return let(
-        F.sort_array(keys),
-        lambda s: F.arrays_zip(F.array_distinct(s).alias("key"), run_lengths(s).alias("c")),
-    )
-
-
-def weighted_keys(texts: DataFrame, ids: list[str], keys: Column, model: DataFrame) -> DataFrame:
+def weighted_keys(texts: DataFrame, ids: list[str], counted: Column, model: DataFrame) -> DataFrame:
     """(ids, key, c, model columns): the keys of each text with what the model says about them.
 
-    Unknown keys stay, with NULLs, and a text without keys has one row with a NULL key; such
-    rows are dealt by their ids. The join is a plain one on a table: a model whose
-    size in bytes is below the session's broadcast threshold is broadcast, a larger one
-    is shuffled, and adaptive execution splits the rows of a frequent key.
+    `counted` holds the distinct keys of a text with their counts. Unknown keys stay, with NULLs,
+    and a text without keys has one row with a NULL key; such rows are dealt by their ids. The join
+    is a plain one on a table: a model whose size in bytes is below the session's broadcast
+    threshold is broadcast, a larger one is shuffled, and adaptive execution splits the rows of a
+    frequent key.
     """
-    facts = texts.select(*ids, F.inline_outer(_counted(keys))).fillna(0, ["c"])
-    none = F.concat_ws(" ", F.lit("\0"), *[F.col(i).cast("string") for i in ids])
-    facts = facts.withColumn("_key", F.coalesce("key", none))
+    facts = texts.select(*ids, counted.alias("_counted")).select(*ids, F.inline_outer("_counted")).fillna(0, ["c"])
+    return _look_up(facts, "key", ids, model)
+
+
+def _look_up(facts: DataFrame, key: str, ids: list[str], model: DataFrame) -> DataFrame:
+    """`facts` with the columns of the model under their key; NULL keys match nothing."""
+    kind = model.schema["key"].dataType.simpleString()
+    # Keys of characters are not negative, others never start with NUL.
+    spread = F.xxhash64(*ids)
+    none = -1 - F.pmod(spread, F.lit(1 << 62)) if kind == "bigint" else F.concat(F.lit("\0 "), spread.cast("string")).cast(kind)
+    facts = facts.withColumn("_key", F.coalesce(key, none))
     return facts.join(model.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
 
 
@@ -62,8 +61,13 @@ class LanguageModel:
     n: int
 
 
+def _flat(text: Column) -> Column:
+    return F.translate(F.lower(text), "\n", " ")
+
+
 def language_keys(text: Column, n: int = 3) -> Column:
-    return M.char_ngrams(F.translate(F.lower(text), "\n", " "), n)
+    """array<struct<key, c>>: the character n-grams of a text with their counts."""
+    return ngrams.counted_chars(_flat(text), n)
 
 
 def train_language_model(
@@ -78,8 +82,10 @@ def train_language_model(
     lang = F.col(label)
     for source, target in (fold or {}).items():
         lang = F.when(lang == source, F.lit(target)).otherwise(lang)
-    grams = labelled.select(lang.alias("lang"), F.explode_outer(language_keys(F.col(text), n)).alias("key"))
-    counts = settle(count_rows(grams.filter(F.col("key").isNotNull()), ["lang", "key"]))
+    texts = labelled.select(lang.alias("label"), _flat(F.col(text)).alias("text"))
+    # Counted within the batches first, so that few rows are grouped.
+    grams = texts.mapInArrow(ngrams.summed_chars(n), f"label string, key {ngrams.char_key_type(n)}, n bigint")
+    counts = settle(grams.groupBy(F.col("label").alias("lang"), "key").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     vocabulary = counts.agg(F.count_distinct("key").alias("v")).scalar()
     floor = F.ln(F.lit(k) / (F.col("total") + F.lit(k) * vocabulary))
@@ -134,38 +140,17 @@ def identify_language(
 
 @dataclass(frozen=True)
 class BigramModel:
-    """`weights`: (key, w) of bigrams 'a b' and contexts 'a'; `base`: one row (base)."""
+    """`weights`: (key, w) of bigrams 'a b', that of their context included; `contexts`: (key, w) of
+    contexts 'a', for bigrams that are not stored; `base`: one row (base)."""
 
     weights: DataFrame
+    contexts: DataFrame
     base: DataFrame
 
 
-START, END = "<s>", "</s>"
-
-
-def _line_tokens(text: Column) -> Column:
-    """Array of lines, each an array of tokens with the border tokens around them."""
-    normal = T.normalize(text, keep_newlines=True)
-    return F.transform(
-        F.split(normal, "\n"),
-        lambda line: F.concat(
-            F.array(F.lit(START)), F.filter(F.split(line, "[ \t]+"), lambda w: w != ""), F.array(F.lit(END))
-        ),
-    )
-
-
 def bigram_keys(text: Column) -> Column:
-    def of_line(tokens: Column) -> Column:
-        return F.transform(
-            F.slice(tokens, 1, F.size(tokens) - 1),
-            lambda w, i: F.concat_ws(" ", w, F.get(tokens, i + 1)),
-        )
-
-    return F.flatten(F.transform(_line_tokens(text), of_line))
-
-
-def _with_contexts(bigrams: Column) -> Column:
-    return let(bigrams, lambda b: F.concat(b, F.transform(b, lambda x: F.substring_index(x, " ", 1))))
+    """array<struct<key, c>>: the bigrams of the lines of a text with their counts."""
+    return ngrams.counted_bigrams(T.normalize(text, keep_newlines=True))
 
 
 def train_bigram_model(corpus: DataFrame, text: str = "text", k: float = 0.1, min_count: int = 1) -> BigramModel:
@@ -175,31 +160,40 @@ def train_bigram_model(corpus: DataFrame, text: str = "text", k: float = 0.1, mi
     ln-sums: a base of -log10 v for each bigram, corrected by the weights of the
     context and of the bigram where they are known.
     """
-    bigrams = corpus.select(F.explode_outer(bigram_keys(F.col(text))).alias("key"))
-    counts = settle(count_rows(bigrams.filter(F.col("key").isNotNull()), ["key"]))
+    normal = corpus.select(T.normalize(F.col(text), keep_newlines=True).alias("text"))
+    # Counted within the batches first, so that few rows are grouped.
+    bigrams = normal.mapInArrow(ngrams.summed_bigrams, "key string, n bigint")
+    counts = settle(bigrams.groupBy("key").agg(F.sum("n").alias("n")))
     vocabulary = counts.agg(F.count_distinct(F.substring_index("key", " ", -1)).alias("v"))
     v = vocabulary.scalar()
-    contexts = counts.groupBy(F.substring_index("key", " ", 1).alias("key")).agg(F.sum("n").alias("n"))
+    context = F.substring_index("key", " ", 1)
     smooth = F.lit(k)
     of_context = F.log10(smooth * v) - F.log10(F.col("n") + smooth * v)
-    of_bigram = F.log10(F.col("n") + smooth) - F.log10(smooth)
+    contexts = settle(
+        counts.groupBy(context.alias("key")).agg(F.sum("n").alias("n")).select("key", F.round(of_context * UNIT).cast("bigint").alias("w"))
+    )
+    of_bigram = F.round((F.log10(F.col("n") + smooth) - F.log10(smooth)) * UNIT).cast("bigint")
     weights = (
         counts.filter(F.col("n") >= min_count)
-        .select("key", F.round(of_bigram * UNIT).cast("bigint").alias("w"))
-        .unionByName(contexts.select("key", F.round(of_context * UNIT).cast("bigint").alias("w")))
+        .select("key", context.alias("_context"), of_bigram.alias("w"))
+        .join(contexts.select(F.col("key").alias("_context"), F.col("w").alias("_w")), "_context")
+        .select("key", (F.col("w") + F.col("_w")).alias("w"))
     )
     base = vocabulary.select(F.round(-F.log10("v") * UNIT).cast("bigint").alias("base"))
-    return BigramModel(settle(weights), settle(base))
+    return BigramModel(settle(weights), contexts, settle(base))
 
 
 def perplexity(
     texts: DataFrame, model: BigramModel, ids: list[str], text: str = "text"
 ) -> DataFrame:
     """(ids, perplexity): 10^(-log score / tokens), a line of m tokens counting m + 1."""
-    facts = weighted_keys(texts, ids, _with_contexts(bigram_keys(F.col(text))), model.weights)
+    facts = weighted_keys(texts, ids, bigram_keys(F.col(text)), model.weights)
+    # A bigram that is not stored may still have a known context.
+    facts = facts.withColumn("_context", F.when(F.col("w").isNull(), F.substring_index("key", " ", 1)))
+    facts = _look_up(facts, "_context", ids, model.contexts.withColumnRenamed("w", "_w"))
     sums = facts.groupBy(*ids).agg(
-        F.sum(F.col("c") * F.coalesce("w", F.lit(0))).alias("hit"),
-        F.sum(F.when(F.contains("key", F.lit(" ")), F.col("c"))).alias("m"),
+        F.sum(F.col("c") * F.coalesce("w", "_w", F.lit(0))).alias("hit"),
+        F.sum(F.when(F.col("key").isNotNull(), F.col("c"))).alias("m"),
     )
     score = F.col("hit") + F.col("m") * model.base.scalar()
     return sums.select(
