@@ -4,25 +4,70 @@ Spark's own edit distance counts a substitution as one edit and gives other valu
 so the last step is a small function on Arrow batches.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 
-def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine word of `a` per step."""
+# Characters between two looks at the bound of a comparison.
+_STRIDE = 32
+
+
+def _shared_start(a: str, b: str) -> int:
+    """Length of the common start, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _is_subsequence(a: str, b: str) -> bool:
+    """Whether the characters of `a` stand in `b` in their order."""
+    at = 0
+    for ch in a:
+        at = b.find(ch, at) + 1
+        if not at:
+            return False
+    return True
+
+
+def common_subsequence(a: str, b: str, least: int = 0) -> int:
+    """Length of the longest common subsequence; if that is below `least`, some value below it.
+
+    Equal ends are taken off; a text that stands in the other one is found in one pass; the rest
+    takes one machine word of `a` per step, and ends when `least` is out of reach.
+    """
     if len(a) > len(b):
         a, b = b, a
+    start = _shared_start(a, b)
+    a, b = a[start:], b[start:]
+    end = _shared_start(a[::-1], b[::-1])
+    a, b, same = a[: len(a) - end], b[: len(b) - end], start + end
+    if same + len(a) < least:
+        return same + len(a)
+    if _is_subsequence(a, b):
+        return same + len(a)
     where: dict[str, int] = {}
     for i, ch in enumerate(a):
         where[ch] = where.get(ch, 0) | (1 << i)
     full = (1 << len(a)) - 1
     state = full
-    for ch in b:
-        hits = state & where.get(ch, 0)
-        state = ((state + hits) | (state - hits)) & full
-    return len(a) - state.bit_count()
+    for first in range(0, len(b), _STRIDE):
+        for ch in b[first : first + _STRIDE]:
+            hits = state & where.get(ch, 0)
+            state = ((state + hits) | (state - hits)) & full
+        if least:
+            possible = same + len(a) - state.bit_count() + max(len(b) - first - _STRIDE, 0)
+            if possible < least:
+                return possible
+    return same + len(a) - state.bit_count()
 
 
 def percent(common: int, total: int) -> int:
@@ -83,7 +128,10 @@ def later_similar(
             shared = np.minimum(counts[candidates], counts[j]).sum(axis=1)
             candidates = candidates[2 * shared >= least * total[candidates]]
         for i in candidates:
-            if similarity_percent(texts[order[i]], texts[order[j]]) >= threshold:
+            whole = int(total[i])
+            # The smallest common length that may round to the threshold.
+            common = common_subsequence(texts[order[i]], texts[order[j]], math.ceil(least * whole / 2))
+            if whole == 0 or percent(common, whole) >= threshold:
                 found.append(int(positions[order[j]]))
                 break
     return found
