@@ -14,6 +14,8 @@ result; a null flag counts as false; a null number is never inside or flagged.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -50,6 +52,29 @@ def _lists(like: pa.Array, values: np.ndarray, kind: pa.DataType, offsets: np.nd
     )
 
 
+#: Nodes worked on at once.
+PIECE = 1 << 16
+
+
+def _in_pieces(function):
+    """`function` on ranges of pages with about PIECE nodes, so that a worker's memory is that of a
+    range and not of a batch, however many pages a batch has."""
+
+    @wraps(function)
+    def run(*columns: pa.Array) -> pa.Array:
+        arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        ends = np.cumsum(pc.list_value_length(arrays[0]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        parts, start = [], 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            end = max(int(np.searchsorted(ends, before + PIECE, side="right")), start + 1)
+            parts.append(function(*[a.slice(start, end - start) for a in arrays]))
+            start = end
+        return pa.concat_arrays(parts) if parts else function(*arrays)
+
+    return run
+
+
 def strictly_inside_np(no: np.ndarray, end: np.ndarray, flag: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each node: whether a flagged node before it in its page has end >= its number."""
     page = _pages(offsets) * SPAN
@@ -98,6 +123,7 @@ def child_count_np(parent: np.ndarray, no: np.ndarray, flag: np.ndarray, offsets
     return np.bincount(at[ok], minlength=len(no)).astype(np.int64)
 
 
+@_in_pieces
 def entries_flagged(paths: pa.Array, no: pa.Array, flag: pa.Array) -> pa.Array:
     """list<list<boolean>>: for each entry of each node's path, whether that entry's node is flagged."""
     if isinstance(paths, pa.ChunkedArray):
@@ -117,15 +143,20 @@ def entries_flagged(paths: pa.Array, no: pa.Array, flag: pa.Array) -> pa.Array:
 
 
 def _unary(kernel, kind: pa.DataType):
-    def run(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+    @_in_pieces
+    def work(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
         x, offsets = _flat(a)
         y, _ = _flat(b)
         z, _ = _flat(c)
         return _lists(a, kernel(x, y, z, offsets), kind, offsets)
 
+    def run(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+        return work(a, b, c)
+
     return run
 
 
+@_in_pieces
 def _live(no: pa.Array, end: pa.Array, parent: pa.Array, alive: pa.Array, leaf: pa.Array) -> pa.Array:
     """array<bigint> per node: 4 if it is inside a `leaf` node; else 1 if it or a node inside it
     is alive (alive nodes inside leaf nodes do not count), plus 2 if its parent is so."""
@@ -147,6 +178,7 @@ def last_inside_np(no: np.ndarray, end: np.ndarray, _unused: np.ndarray, offsets
     return last - (offsets[:-1][_pages(offsets)] if len(no) else 0)
 
 
+@_in_pieces
 def _caption_texts(no: pa.Array, end: pa.Array, holder: pa.Array, text: pa.Array) -> pa.Array:
     """list<string> per node: the text of the first caption of its page (in caption order) that is
     not empty and whose holder is the node or a node around it; else null.

@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessella.functions import intervals as IV
@@ -110,3 +111,22 @@ def test_captions_of_nested_figures(spark):
         "https://h.org/c.png": "T",
         "https://h.org/d.png": "div cap",
     }
+
+
+def test_a_batch_is_worked_through_in_pieces(monkeypatch):
+    """The kernels' working arrays were as large as a batch of pages."""
+    pages = [[0, 1, 2], None, [], [0, 1], [0, 1, 2, 3]] * 20
+    ends = [p and [p[-1]] + p[1:] for p in pages]
+    flags = [p and [True] + [False] * (len(p) - 1) for p in pages]
+    args = [pa.array(x, pa.list_(k)) for x, k in ((pages, pa.int64()), (ends, pa.int64()), (flags, pa.bool_()))]
+    sizes = []
+
+    def kernel(no, end, flag, offsets):
+        sizes.append(len(no))
+        return IV.strictly_inside_np(no, end, flag, offsets)
+
+    run = IV._unary(kernel, pa.bool_())
+    whole = run(*args)
+    monkeypatch.setattr(IV, "PIECE", 8)
+    assert run(*args).to_pylist() == whole.to_pylist() == [p and [i > 0 for i in range(len(p))] for p in pages]
+    assert max(sizes[1:]) <= 8 < sizes[0]
