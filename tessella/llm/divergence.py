@@ -35,6 +35,10 @@ count, which may pass 2^63 on a large corpus).
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,26 +67,61 @@ def _price(count: str, total: str, vocab: str):
     )
 
 
+#: Bytes of texts of terms become lower-cased, all others blanks. In UTF-8 the bytes above 127 are
+#: those of the characters beyond ASCII.
+_TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
+#: Different terms that a task holds before it ships their counts.
+HELD_TERMS = 1 << 18
+
+
+def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, text) to (lang, source, term, count, rows), summed within a task; each group
+    also has a row with a null term, so that one without terms is there."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def shipped() -> pa.RecordBatch:
+        columns = [[], [], [], [], []]
+        for (lang, source), (counts, rows) in held.items():
+            n = len(counts) + 1
+            columns[0] += [lang] * n
+            columns[1] += [source] * n
+            columns[2] += [None, *counts]
+            columns[3] += [0, *counts.values()]
+            columns[4] += [0, *(rows[t] for t in counts)]
+        kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        arrays[2] = arrays[2].cast(pa.string())
+        held.clear()
+        return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "count", "rows"])
+
+    size = 0
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
+            counts, rows = held.setdefault((lang, source), (Counter(), Counter()))
+            terms = text.encode().translate(_TERM_BYTES).split()
+            size -= len(counts)
+            counts.update(terms)
+            rows.update(set(terms))
+            size += len(counts)
+            if size >= HELD_TERMS:
+                yield shipped()
+                size = 0
+    if held:
+        yield shipped()
+
+
 def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """groups (lang, source, N, V, p0), entries (lang, source, term, count > 0, p), and languages'
+    """groups (lang, source, N, V, p0), entries (lang, source, term, count > 0, p, the group's p0), and languages'
     kept terms (lang, term, lang_count, q)."""
     d = documents.select(
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
-        F.regexp_extract_all(F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER), F.lit(TERM), 0).alias("t"),
-    )
-    # One row per distinct term of a row with its count there: the sorted terms of the row, cut
-    # where a term differs from the one before.
-    starts = F.expr("CASE WHEN size(s) = 0 THEN array() ELSE filter(sequence(0, size(s) - 1), i -> i = 0 OR s[i] != s[i - 1]) END")
-    runs = F.expr(
-        "transform(st, (i, k) -> named_struct('term', s[i], 'n', CAST(coalesce(get(st, k + 1), size(s)) - i AS BIGINT)))"
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     facts = (
-        d.select("lang", "source", F.array_sort("t").alias("s"))
-        .select("lang", "source", "s", starts.alias("st"))
-        .select("lang", "source", F.explode_outer(runs).alias("x"))
-        .groupBy("lang", "source", F.col("x.term").alias("term"))
-        .agg(F.coalesce(F.sum("x.n"), F.lit(0)).alias("count"), F.count("x.term").alias("rows"))
+        d.mapInArrow(count_terms, "lang string, source string, term string, count bigint, rows bigint")
+        .groupBy("lang", "source", "term")
+        .agg(F.sum("count").alias("count"), F.sum("rows").alias("rows"))
     )
     # Texts are read and split once: every later table derives from these counts, written in the
     # shared checkpoint folder. A row without terms leaves its group a row with a null term.
@@ -107,7 +146,7 @@ def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
     groups = cut(groups)
     langs = groups.groupBy("lang").agg(F.sum("N").alias("NL"), F.first("V").alias("V"))
     kept = kept.join(langs, "lang").select("lang", "term", "lang_count", _price("lang_count", "NL", "V").alias("q"))
-    entries = entries.join(groups, ["lang", "source"]).select("lang", "source", "term", "count", _price("count", "N", "V").alias("p"))
+    entries = entries.join(groups, ["lang", "source"]).select("lang", "source", "term", "count", _price("count", "N", "V").alias("p"), "p0")
     return groups, cut(entries), kept
 
 
@@ -143,13 +182,11 @@ def pair_part(groups: DataFrame, entries: DataFrame) -> DataFrame:
     # The product over nonzero indicators: a join on the term. Each joint-table cell (a, b) is
     # priced as the product forms it, so the partial aggregation of every task (a block of the
     # product) is one row per pair of groups, and the final aggregation sums the blocks.
-    left = entries.select("lang", "term", "source", F.col("p").alias("pa"))
-    right = entries.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("pb"))
+    left = entries.select("lang", "term", "source", F.col("p").alias("pa"), "p0")
+    right = entries.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("pb"), F.col("p0").alias("h0"))
     fix = (
         left.join(right, ["lang", "term"])
         .where(F.col("source") != F.col("item"))
-        .join(g.select("lang", "source", "p0"), ["lang", "source"])
-        .join(h, ["lang", "item"])
         .groupBy("lang", "source", "item")
         .agg(
             F.sum(

@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from tessella.llm import divergence as dv
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -64,3 +66,21 @@ def test_no_kept_terms_gives_zero_pairs(spark):
     df = spark.createDataFrame([("a b", "en", "x"), ("c", "en", "y"), (None, None, None)], "text string, lang string, source string")
     got = sorted(tuple(r) for r in dv.divergence_audit(df, 5).collect())
     assert got == [("en", "x", "pair", "y", 0, 1), ("en", "y", "pair", "x", 0, 1)]
+
+
+def test_counts_leave_a_task_summed(monkeypatch):
+    """One row per distinct term of a row was exploded before anything was summed."""
+    texts = ["b A-a Été", "", "a \x00B\x7fb", "\U0001f600x"] * 50
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 200, "source": ["s", "t"] * 100, "text": texts})
+    for held in (3, 1 << 18):
+        monkeypatch.setattr(dv, "HELD_TERMS", held)
+        out = [r for b in dv.count_terms(iter([batch])) for r in b.to_pylist()]
+        total = {}
+        for r in out:
+            c, n = total.get((r["source"], r["term"]), (0, 0))
+            total[r["source"], r["term"]] = (c + r["count"], n + r["rows"])
+        assert total == {
+            ("s", None): (0, 0), ("t", None): (0, 0), ("s", "a"): (150, 100), ("s", "b"): (150, 100),
+            ("s", "Été"): (50, 50), ("t", "\U0001f600x"): (50, 50),
+        }
+    assert len(out) == 6
