@@ -240,19 +240,24 @@ def summed_chars(n: int):
             order = np.argsort(label, kind="stable")
             texts, label = texts.take(pa.array(order)), label[order]
             sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-            for a, b in pieces(sizes, 16 * PIECE):
+            for a, b in pieces(sizes, 4 * PIECE):
                 points, offsets = code_points(texts.slice(a, b - a))
                 # The grams of a label's texts are counted as those of one text; none crosses a border.
                 names, bound = gram_names(points, n)
                 total = np.maximum(np.diff(offsets) - n + 1, 0)
                 places = np.arange(total.sum()) + np.repeat(offsets[:-1] - (np.cumsum(total) - total), total)
                 names = names[places]
-                if bound * len(labels.dictionary) >= 1 << 62:
+                if bound * len(labels.dictionary) >= 16 * PIECE:
                     names, bound = _ranks(names)
                 keys = np.repeat(label[a:b], total) * bound + names
-                found, where, counts = np.unique(keys, return_index=True, return_counts=True)
+                if not len(keys):
+                    continue
+                counts = np.bincount(keys)
+                where = np.zeros(len(counts), np.int64)
+                where[keys] = places
+                found = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [labels.dictionary.take(pa.array(found // bound)), _char_keys(points, places[where], n), pa.array(counts)],
+                    [labels.dictionary.take(pa.array(found // bound)), _char_keys(points, where[found], n), pa.array(counts[found])],
                     names=["label", "key", "n"],
                 )
 
@@ -301,7 +306,7 @@ def summed_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         texts = batch.column("text")
         sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-        for a, b in pieces(sizes, 16 * PIECE):
+        for a, b in pieces(sizes, 8 * PIECE):
             found: Counter = Counter()
             for text in texts.slice(a, b - a).to_pylist():
                 if text is not None:

@@ -20,18 +20,25 @@ def _two_decimals(x: Column) -> Column:
     return F.round(x * 100) / 100
 
 
-def text_metrics(text: Column, checks: TextChecks) -> list[Column]:
-    """All metrics that need no model, rounded to two decimals."""
-    bare = T.strip_diacritics(text)
+def with_text_metrics(rows: DataFrame, text: str, checks: TextChecks) -> DataFrame:
+    """All metrics that need no model, rounded to two decimals, of the text column of `rows`,
+    after the columns of `rows` without the text. The words are made once, in columns."""
+    kept = [c for c in rows.columns if c != text]
+    rows = rows.withColumn("_bare", T.strip_diacritics(F.col(text)))
+    rows = rows.withColumns({"_words": T.words(F.col(text)), "_bare_words": T.words(F.col("_bare"))})
+    return rows.select(*kept, *_text_metrics(F.col(text), F.col("_bare"), F.col("_words"), F.col("_bare_words"), checks))
+
+
+def _text_metrics(text: Column, bare: Column, words: Column, bare_words: Column, checks: TextChecks) -> list[Column]:
     metrics = {
         "n_words": T.num_words(text),
         "char_repetition": M.char_repetition_ratio(bare, checks.char_repetition_length),
-        "word_repetition": M.word_repetition_ratio(T.words(text), checks.word_repetition_length),
+        "word_repetition": M.word_repetition_ratio(words, checks.word_repetition_length),
         "special_chars": M.special_char_ratio(text),
-        "stop_words": M.listed_word_ratio(T.words(bare), list(checks.stop_words)),
-        "flagged_words": M.listed_word_ratio(T.words(bare), list(checks.flagged_words)),
+        "stop_words": M.listed_word_ratio(bare_words, list(checks.stop_words)),
+        "flagged_words": M.listed_word_ratio(bare_words, list(checks.flagged_words)),
         "punctuation": M.punctuation_ratio(text, checks.punctuation_min_words),
-        "common_words": M.listed_word_ratio(T.words(bare), list(checks.common_words)),
+        "common_words": M.listed_word_ratio(bare_words, list(checks.common_words)),
     }
     return [_two_decimals(m).alias(name) if name != "n_words" else m.alias(name) for name, m in metrics.items()]
 
@@ -42,11 +49,11 @@ def metric_profile(
     """Metrics per document (joined texts) or per paragraph."""
     if level == "paragraph":
         pars = paragraph_table(docs, separator=separator)
-        return pars.select("doc_id", "node", "par", *text_metrics(F.col("paragraph"), checks))
+        return with_text_metrics(pars.select("doc_id", "node", "par", "paragraph"), "paragraph", checks)
     if level != "document":
         raise ValueError("level must be 'document' or 'paragraph'")
     joined = docs.select("doc_id", full_text(F.col("nodes"), separator).alias("text"))
-    return joined.select("doc_id", *text_metrics(F.col("text"), checks))
+    return with_text_metrics(joined, "text", checks)
 
 
 def image_profile(images: DataFrame) -> DataFrame:

@@ -4,9 +4,9 @@ from dataclasses import replace
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from tessella.functions import ngrams
+from tessella.functions.similarity import common_subsequence
 from tessella.operators import filters, models
 from tessella.plans.options import PARAGRAPH_CHECKS
 
@@ -64,3 +64,16 @@ def test_models_sum_counts_before_they_group(spark):
     bigrams = models.train_bigram_model(docs, min_count=2)
     scores = {r.doc_id: r.perplexity for r in models.perplexity(docs, bigrams, ["doc_id"]).collect()}
     assert len(scores) == 53 and scores[50] is None and scores[0] == scores[49] < scores[52]
+
+
+def test_subsequence_by_shortcuts_and_bounds():
+    """A text against itself without some letters took quadratic time."""
+    rng = random.Random(2)
+    long = "".join(rng.choice("abcdefghij \n") for _ in range(150_000))
+    assert common_subsequence(long, long.replace("a", "")) == len(long.replace("a", ""))
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 90))) for _ in range(2))
+        exact = common_subsequence(a, b)
+        for least in (1, exact, exact + 1, 70):
+            got = common_subsequence(a, b, least)
+            assert got == exact if exact >= least else got < least
