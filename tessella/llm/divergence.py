@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.components import cut
+from tessella.sources.storage import settle
 
 #: Fixed values of the contract: term pattern, minimum documents, smoothing, scale, ranks of part `term`.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -123,9 +123,10 @@ def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
         .groupBy("lang", "source", "term")
         .agg(F.sum("count").alias("count"), F.sum("rows").alias("rows"))
     )
-    # Texts are read and split once: every later table derives from these counts, written in the
-    # shared checkpoint folder. A row without terms leaves its group a row with a null term.
-    facts = cut(facts)
+    # Texts are read and split once: every later table derives from these counts, written as Parquet
+    # in the shared folder, where the repeated langs, sources and terms take little room. A row
+    # without terms leaves its group a row with a null term.
+    facts = settle(facts)
     groups = facts.select("lang", "source").distinct()
     facts = facts.where(F.col("term").isNotNull())
     kept = (
@@ -143,11 +144,11 @@ def prepare(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
         .select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V"))
         .withColumn("p0", _price("0", "N", "V"))
     )
-    groups = cut(groups)
+    groups = settle(groups)
     langs = groups.groupBy("lang").agg(F.sum("N").alias("NL"), F.first("V").alias("V"))
     kept = kept.join(langs, "lang").select("lang", "term", "lang_count", _price("lang_count", "NL", "V").alias("q"))
     entries = entries.join(groups, ["lang", "source"]).select("lang", "source", "term", "count", _price("count", "N", "V").alias("p"), "p0")
-    return groups, cut(entries), kept
+    return groups, settle(entries), kept
 
 
 def pair_part(groups: DataFrame, entries: DataFrame) -> DataFrame:
