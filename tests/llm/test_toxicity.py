@@ -56,3 +56,24 @@ def test_rows_without_text_or_labels(spark, monkeypatch):
     assert tx.train(docs, labels.where("toxic = 0"), held) is None
     assert {r["score"] for r in tx.score_toxicity(docs, None).collect()} == {0.5}
     assert tx.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_every_labelled_row_teaches(spark, monkeypatch):
+    monkeypatch.setattr(tx, "EPOCHS", 2)
+    monkeypatch.setattr(tx, "SHARD_ROWS", 4)
+    seen = []
+    fit, calibrate = tx.fit, tx.calibrate
+    monkeypatch.setattr(tx, "fit", lambda rows, counts: seen.append(rows.count()) or fit(rows, counts))
+    monkeypatch.setattr(tx, "calibrate", lambda model, rows: seen.append(rows.count()) or calibrate(model, rows))
+    docs = spark.range(8000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'you idiot', 'calm day') AS text", "'en' AS lang")
+    labels = spark.range(8000).selectExpr("id AS doc_id", "int(id % 3 = 0) AS toxic")
+    model = tx.train(docs, labels, F.lit(False))
+    assert sum(seen) == 8000
+    again = tx.train(docs.repartition(5), labels, F.lit(False))
+    assert all((a == b).all() for a, b in zip(model.net.params(), again.net.params(), strict=True))
+    assert model.common == again.common
+
+
+def test_threshold_of_counted_steps():
+    raw = np.array([2.0, 0.0, 1.0])
+    assert tx.best_threshold(raw, np.array([1, 0, 0]), np.array([10, 50, 3]), 0.5) == 1.75
