@@ -7,7 +7,7 @@ first; the language and perplexity checks run afterwards, on what is left.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.constants import END_OF_DOCUMENT, PARAGRAPH_SEPARATOR, UNSAFE_SCORE_CUTOFFS
+from tessella.constants import DIACRITICS_CLASS, END_OF_DOCUMENT, PARAGRAPH_SEPARATOR, UNSAFE_SCORE_CUTOFFS
 from tessella.functions import metrics as M
 from tessella.functions import text as T
 from tessella.functions.arrays import let
@@ -101,6 +101,8 @@ def first_failed_check(
     """
     bare = T.strip_diacritics(text)
     words = T.words(text) if words is None else words
+    # A text without diacritics, as most are, is not searched for its words again.
+    bare_words = F.when(~text.rlike(DIACRITICS_CLASS), words).otherwise(T.words(bare))
     count = F.size(words)
     rules: list[tuple[str, Column]] = []
     if checks.min_words is not None:
@@ -116,16 +118,16 @@ def first_failed_check(
     if checks.max_special_chars is not None:
         rules.append(("special_characters", M.special_char_ratio(text) > checks.max_special_chars))
     if checks.min_stop_words is not None:
-        ratio = M.listed_word_ratio(T.words(bare), list(checks.stop_words))
+        ratio = M.listed_word_ratio(bare_words, list(checks.stop_words))
         rules.append(("stop_words", ratio < checks.min_stop_words))
     if checks.max_flagged_words is not None and checks.flagged_words:
-        ratio = M.listed_word_ratio(T.words(bare), list(checks.flagged_words))
+        ratio = M.listed_word_ratio(bare_words, list(checks.flagged_words))
         rules.append(("flagged_words", ratio > checks.max_flagged_words))
     if checks.min_punctuation is not None:
         ratio = M.punctuation_ratio(text, checks.punctuation_min_words)
         rules.append(("punctuation", ratio < checks.min_punctuation))
     if checks.min_common_words is not None:
-        ratio = M.listed_word_ratio(T.words(bare), list(checks.common_words))
+        ratio = M.listed_word_ratio(bare_words, list(checks.common_words))
         rules.append(("common_words", ratio < checks.min_common_words))
     if not rules:
         return F.lit(None).cast("string")
