@@ -7,6 +7,8 @@ from tessella import constants as C
 from tessella.catalog import sql as S
 from tessella.catalog.registry import register
 from tessella.catalog.views import DOC_LINES, DOCS_WEB, docs_web, table
+from tessella.functions.arrays import let
+from tessella.functions.text import collapse_spaces, where_found
 from tessella.operators import html as H
 from tessella.sources.dom import build_dom_nodes, dom_nodes
 
@@ -47,8 +49,8 @@ FRAME = ["html", "head", "title", "-text", "body"]
 
 
 def _line(text: Column) -> Column:
-    flat = F.trim(F.regexp_replace(text, " {2,}", " "))
-    return F.when(flat == "", F.lit("blank")).otherwise(flat)
+    flat = F.trim(where_found(text, "  ", collapse_spaces))
+    return let(flat, lambda t: F.when(t == "", F.lit("blank")).otherwise(t))
 
 
 def _escaped(text: Column) -> Column:
@@ -62,9 +64,7 @@ def written_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def fragment(line: Column, pos: Column) -> Column:
         k = (pos + F.col("doc_id")) % len(FRAGMENTS)
-        template = F.lit("")
-        for number, text in enumerate(FRAGMENTS):
-            template = F.when(k == number, F.lit(text)).otherwise(template)
+        template = F.get(F.array(*map(F.lit, FRAGMENTS)), k.cast("int"))
         image = F.concat(F.col("doc_id").cast("string"), F.lit("_"), pos.cast("string"))
         return F.replace(F.replace(template, F.lit("{L}"), _escaped(_line(line))), F.lit("{I}"), image)
 

@@ -213,6 +213,121 @@ def _caption_texts(no: pa.Array, end: pa.Array, holder: pa.Array, text: pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), pa.int32()), pa.array(out, pa.string()), mask=no.is_null() if not isinstance(no, pa.ChunkedArray) else no.combine_chunks().is_null())
 
 
+def unwrapped_parent_np(parent: np.ndarray, no: np.ndarray, unwrapped: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each node: the number of the nearest node around it that is not unwrapped, else -1."""
+    n = len(no)
+    keys = _pages(offsets) * SPAN
+    target = keys + parent
+    keys = keys + no
+    at = np.searchsorted(keys, target)
+    known = (parent >= 0) & (at < n)
+    known[known] &= keys[at[known]] == target[known]
+    # Index n stands for no node. Unwrapped nodes point further out, and every round doubles the way.
+    out = np.where(known, at, n)
+    jump = np.append(np.where(unwrapped, out, np.arange(n)), n)
+    while not np.array_equal(further := jump[jump], jump):
+        jump = further
+    return np.append(no, -1)[jump[out]]
+
+
+#: What a node is, as bits of a code (see html.simplify).
+DROPPED, REPLACED, UNWRAPPED, DATED, TEXT, ALIVE, ALIVE_AS_TEXT, LEAF, SOURCE, USABLE, ASKS_INNER, ROOT = (1 << i for i in range(12))
+
+
+#: What becomes of a node; paths of nodes inside unwrapped ones change.
+GONE, STAYS, INSIDE_UNWRAPPED = 0, 1, 2
+
+
+@_in_pieces
+def _simplified(no: pa.Array, end: pa.Array, parent: pa.Array, code: pa.Array) -> pa.Array:
+    """list<bigint> per node: GONE or one of STAYS and INSIDE_UNWRAPPED when dropped subtrees, the content
+    of replaced nodes, unwrapped nodes, texts of dated parents and then empty nodes are taken out."""
+    nos, offsets = _flat(no)
+    ends, _ = _flat(end)
+    parents, _ = _flat(parent)
+    codes, _ = _flat(code)
+
+    def has(bit: int) -> np.ndarray:
+        return codes & bit != 0
+
+    replaced = has(REPLACED)
+    dropped = has(DROPPED)
+    unwrapped = has(UNWRAPPED) & ~replaced
+    text = has(TEXT) | replaced
+    wrapped = strictly_inside_np(nos, ends, unwrapped, offsets)
+    stays = ~(dropped | unwrapped | strictly_inside_np(nos, ends, dropped | replaced, offsets))
+    parents = unwrapped_parent_np(parents, nos, unwrapped, offsets)
+    stays &= ~(text & parent_in_np(parents, nos, has(DATED) & ~replaced & stays, offsets))
+    # What is left, as pages of their own.
+    left = np.flatnonzero(stays)
+    offsets_left = np.concatenate([[0], np.cumsum(stays)])[offsets]
+    codes, nos, parents = codes[left], nos[left], parents[left]
+    replaced, text = replaced[left], text[left]
+    ends = np.where(replaced, nos, ends[left])
+    first = first_inside_np(nos, ends, has(SOURCE) & ~replaced, offsets_left)
+    source = np.where(first >= 0, first + offsets_left[:-1][_pages(offsets_left)], -1)
+    inner = np.append(has(USABLE), False)[source]
+    alive = np.where(replaced, has(ALIVE_AS_TEXT), has(ALIVE) | (has(ASKS_INNER) & inner))
+    hidden = strictly_inside_np(nos, ends, has(LEAF) & ~replaced, offsets_left)
+    live = has_inside_np(nos, ends, alive & ~hidden, offsets_left)
+    within = parent_in_np(parents, nos, live, offsets_left)
+    stays[left] = ~hidden & np.where(text, within, live | has(ROOT))
+    return _lists(no, np.where(stays, np.where(wrapped, INSIDE_UNWRAPPED, STAYS), GONE), pa.int64(), offsets)
+
+
+#: Bits of the codes that `collapsed` takes.
+ELEMENT, FILLED_TEXT, SAME_AS_PARENT = 1, 2, 4
+
+
+@_in_pieces
+def _collapsed(paths: pa.Array, no: pa.Array, parent: pa.Array, code: pa.Array) -> pa.Array:
+    """list<list<boolean>>: for each entry of each node's path, whether that entry's node has one element
+    of its own tag as its only content; null for nodes without such an entry."""
+    nos, offsets = _flat(no)
+    parents, _ = _flat(parent)
+    codes, _ = _flat(code)
+    elements, texts, same = (
+        child_count_np(parents, nos, codes & bit != 0, offsets) for bit in (ELEMENT, FILLED_TEXT, SAME_AS_PARENT)
+    )
+    outer = (elements == 1) & (texts == 0) & (same == 1) & (nos >= 0)
+    page = _pages(offsets) * SPAN
+    entry_no, inner = _flat(pc.list_flatten(paths))
+    keys = page + nos
+    target = np.repeat(page, np.diff(inner)) + entry_no
+    at = np.minimum(np.searchsorted(keys, target), max(len(keys) - 1, 0))
+    hit = (keys[at] == target) & outer[at] & (entry_no >= 0) if len(keys) else np.zeros(0, bool)
+    counts = np.concatenate([[0], np.cumsum(hit)])[inner]
+    flags = pa.ListArray.from_arrays(
+        pa.array(inner.astype(np.int32), pa.int32()), pa.array(hit, pa.bool_()), mask=pa.array(np.diff(counts) == 0)
+    )
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), pa.int32()), flags, mask=paths.is_null())
+
+
+@_in_pieces
+def _figure_captions(no: pa.Array, end: pa.Array, holder: pa.Array, text: pa.Array) -> pa.Array:
+    """list<string> per node: `holder` is a number for captions, else null; `text` is the stripped text
+    of leaves inside captions, else null. The texts inside a caption are joined by blanks, and every
+    node gets the first caption as in _caption_texts."""
+    nos, offsets = _flat(no)
+    ends, _ = _flat(end)
+    holders, _ = _flat(holder)
+    last = last_inside_np(nos, ends, nos, offsets) + offsets[:-1][_pages(offsets)]
+    captions = np.flatnonzero(holders >= 0)
+    values = pc.list_flatten(text)
+    filled = np.flatnonzero(pc.fill_null(pc.not_equal(values, ""), False).to_numpy(zero_copy_only=False))
+    words = values.take(pa.array(filled)).to_pylist()
+    starts = np.searchsorted(filled, captions, side="right")
+    stops = np.searchsorted(filled, last[captions], side="right")
+    joined = [" ".join(words[a:b]) for a, b in zip(starts, stops)]
+    per_page = pa.array(np.searchsorted(captions, offsets).astype(np.int32), pa.int32())
+    return _caption_texts(
+        no,
+        end,
+        pa.ListArray.from_arrays(per_page, pa.array(holders[captions], pa.int64())),
+        pa.ListArray.from_arrays(per_page, pa.array(joined, pa.string())),
+    )
+
+
 _TYPES = {pa.bool_(): "array<boolean>", pa.int64(): "array<bigint>"}
 
 
@@ -241,18 +356,25 @@ _has_inside = _udf(has_inside_np, pa.bool_())
 _first_inside = _udf(first_inside_np, pa.int64())
 _parent_in = _udf(parent_in_np, pa.bool_())
 _child_count = _udf(child_count_np, pa.int64())
-_last_inside = _udf(last_inside_np, pa.int64())
-_caption_texts_udf = lazy_udf(_caption_texts, "array<string>")
+_simplified_udf = lazy_udf(_simplified, "array<bigint>")
+_collapsed_udf = lazy_udf(_collapsed, "array<array<boolean>>")
+_figure_captions_udf = lazy_udf(_figure_captions, "array<string>")
+
+
+def simplified(no: Column, end: Column, parent: Column, code: Column) -> Column:
+    """array<bigint>: GONE, STAYS or INSIDE_UNWRAPPED; `code` holds the bits DROPPED to ROOT."""
+    return _simplified_udf(no, end, parent, code)
 
 
-def last_inside(no: Column, end: Column) -> Column:
-    """array<bigint>: 0-based index of the last node inside each node (itself for a leaf)."""
-    return _last_inside(no, end, no)
+def collapsed(path_nos: Column, no: Column, parent: Column, code: Column) -> Column:
+    """array<array<boolean>>: per path entry, whether its node holds nothing but one element of its
+    tag; null for a node without such an entry. `code` holds ELEMENT, FILLED_TEXT, SAME_AS_PARENT."""
+    return _collapsed_udf(path_nos, no, parent, code)
 
 
-def caption_texts(no: Column, end: Column, holders: Column, texts: Column) -> Column:
+def figure_captions(no: Column, end: Column, holder: Column, text: Column) -> Column:
     """array<string>: per node, the first non-empty caption whose holder is the node or around it."""
-    return _caption_texts_udf(no, end, holders, texts)
+    return _figure_captions_udf(no, end, holder, text)
 
 
 _entries_flagged = lazy_udf(entries_flagged, "array<array<boolean>>")

@@ -44,7 +44,15 @@ def drop_comments(html: Column) -> Column:
 
 
 def mark_line_breaks(html: Column) -> Column:
-    return F.regexp_replace(html, "<br>|<br/>|<br />|</br>", C.LINE_BREAK_TOKEN)
+    # The four cannot overlap, and none can arise from the token.
+    for tag in ("<br>", "<br/>", "<br />", "</br>"):
+        html = F.replace(html, F.lit(tag), F.lit(C.LINE_BREAK_TOKEN))
+    return html
+
+
+def where_found(text: Column, part: str, change) -> Column:
+    """`change(text)` for texts that hold `part`, which the change needs; a plain search spares others its scan."""
+    return let(text, lambda t: F.when(F.contains(t, F.lit(part)), change(t)).otherwise(t))
 
 
 def format_text(text: Column) -> Column:
@@ -53,12 +61,15 @@ def format_text(text: Column) -> Column:
     A blank at either end is kept as one space, because it decides how the text
     joins its neighbours.
     """
-    flat = collapse_spaces(F.translate(text, "\n\t", "  "))
+    flat = where_found(F.translate(text, "\n\t", "  "), "  ", collapse_spaces)
+
+    def stripped(t: Column) -> Column:
+        ends = F.left(t, F.lit(1)).rlike(BLANK_CLASS) | F.right(t, F.lit(1)).rlike(BLANK_CLASS)
+        return F.when(ends, strip_blanks(t)).otherwise(t)
 
     def shaped(t: Column) -> Column:
-        lines = F.array_join(
-            F.transform(F.split(t, C.LINE_BREAK_TOKEN), strip_blanks), "\n"
-        )
+        parts = F.array_join(F.transform(F.split(t, C.LINE_BREAK_TOKEN), strip_blanks), "\n")
+        lines = F.when(F.contains(t, F.lit(C.LINE_BREAK_TOKEN)), parts).otherwise(stripped(t))
         head = F.when(t.startswith(" "), F.lit(" ")).otherwise(F.lit(""))
         tail = F.when(t.endswith(" ") & (F.length(t) > 1), F.lit(" ")).otherwise(F.lit(""))
         return F.concat(head, lines, tail)

@@ -20,7 +20,9 @@ TEXT_TAG = "-text"
 
 def clean_html(html: Column) -> Column:
     """The four string rewrites that come before parsing."""
-    return T.mark_line_breaks(T.drop_comments(T.collapse_spaces(T.collapse_linebreaks(html))))
+    html = T.where_found(html, "\n\n", T.collapse_linebreaks)
+    html = T.where_found(html, "  ", T.collapse_spaces)
+    return T.mark_line_breaks(T.where_found(html, "<!--", T.drop_comments))
 
 
 # --- Selecting nodes ----------------------------------------------------------
@@ -212,22 +214,25 @@ def drop_empty_nodes(pages_nodes: DataFrame, column: str = "nodes") -> DataFrame
 
 def unnest_same_tag(nodes: Column) -> Column:
     """Collapse an element whose only content is one element of the same tag."""
-    nos, parents = _nos(nodes), _parents(nodes)
-    elements = IV.child_count(parents, nos, _flags(nodes, lambda n: ~_is_text(n)))
-    texts = IV.child_count(parents, nos, _flags(nodes, lambda n: _is_text(n) & ~_is_blank(n["text"])))
-    same = IV.child_count(
-        parents, nos, _flags(nodes, lambda n: ~_is_text(n) & (n["tag"] == F.try_element_at(n["path"], F.lit(-2))["tag"]))
-    )
-    outer = F.zip_with(
-        F.zip_with(elements, texts, lambda e, t: (e == 1) & (t == 0)), same, lambda one, s: one & (s == 1)
-    )
-    hits = IV.path_flags(F.transform(nodes, lambda n: n["path"]["no"]), nos, outer)
+
+    def code(n: Column) -> Column:
+        same = F.when(n["tag"] == F.try_element_at(n["path"], F.lit(-2))["tag"], IV.ELEMENT | IV.SAME_AS_PARENT)
+        return F.when(_is_text(n), F.when(_is_blank(n["text"]), 0).otherwise(IV.FILLED_TEXT)).otherwise(
+            F.coalesce(same, F.lit(IV.ELEMENT))
+        )
+
+    hits = IV.collapsed(F.transform(nodes, lambda n: n["path"]["no"]), _nos(nodes), _parents(nodes), F.transform(nodes, code))
 
     def unwrapped(n: Column, h: Column) -> Column:
         entries = F.zip_with(n["path"], h, lambda e, f: F.struct(e.alias("e"), f.alias("f")))
         return n.withField("path", F.transform(F.filter(entries, lambda x: ~x["f"]), lambda x: x["e"]))
 
-    return _drop_flagged(F.zip_with(nodes, hits, unwrapped), outer)
+    # The last entry of a path is the node itself.
+    pairs = F.filter(
+        F.zip_with(nodes, hits, lambda n, h: F.struct(n.alias("n"), h.alias("h"))),
+        lambda x: ~F.coalesce(F.element_at(x["h"], -1), F.lit(False)),
+    )
+    return F.transform(pairs, lambda x: F.when(x["h"].isNull(), x["n"]).otherwise(unwrapped(x["n"], x["h"])))
 
 
 def _islands(nodes: Column, starts_new, build) -> Column:
@@ -279,17 +284,97 @@ SIMPLIFICATIONS = (
 )
 
 
+def _node_code(n: Column) -> Column:
+    """What the steps up to drop_empty_leaves need to know of a node, as bits (see functions.intervals)."""
+    classes = F.element_at(n["attrs"], "class")
+    src = F.element_at(n["attrs"], "src")
+    leaf_media = [t for t in C.MEDIA_TAGS if t not in ("figure", "picture")]
+    special = [F.element_at(n["attrs"], a).isin(C.SPECIAL_DIV_NAMES) for a in ("id", "class", "title")]
+
+    def bit(condition: Column, value: int) -> Column:
+        return F.when(condition, value).otherwise(0)
+
+    def classed(code: Column) -> Column:
+        return F.when(classes.isNull(), 0).otherwise(code)
+
+    filled = [word for word, text in C.REPLACED_CLASSES.items() if text.strip()]
+    blank = [word for word, text in C.REPLACED_CLASSES.items() if not text.strip()]
+    if blank and filled:
+        raise ValueError("replacing texts must all be blank or all hold something")
+    by_class = classed(
+        bit(_has_class(n, C.DROPPED_CLASSES) & (n["tag"] != "html"), IV.DROPPED)
+        + bit(_has_class(n, list(C.REPLACED_CLASSES)), IV.REPLACED | (IV.ALIVE_AS_TEXT if filled else 0))
+        + bit((n["tag"] == "div") & classes.contains("date"), IV.DATED)
+    )
+    foreign = ~n["tag"].isin(C.KEPT_TAGS) & _is_foreign(n["tag"], C.KEPT_TAGS)
+    film = (
+        F.when(F.coalesce(src, F.lit("")) == "", IV.ASKS_INNER)
+        .when(U.usable_source(src).isNotNull(), IV.ALIVE)
+        .otherwise(0)
+    )
+    element = (
+        F.when(classes.isNotNull() & _has_class(n, list(C.REPLACED_CLASSES)), 0)
+        .when(n["tag"].isin(C.INLINE_TAGS), IV.UNWRAPPED)
+        .when(foreign, IV.DROPPED)
+        .when((n["tag"] == "div") & F.coalesce(F.greatest(*special), F.lit(False)), IV.DROPPED)
+        .otherwise(0)
+    )
+    media = (
+        F.when(n["tag"] == "img", bit(U.image_source(n["attrs"]).isNotNull(), IV.ALIVE))
+        .when(n["tag"].isin("video", "audio"), film)
+        .when(n["tag"] == "source", bit(src != "", IV.SOURCE) + bit(U.usable_source(src).isNotNull(), IV.USABLE))
+        .when(n["tag"] == "html", IV.ROOT)
+        .otherwise(0)
+    )
+    own = F.when(_is_text(n), bit(~_is_blank(n["text"]), IV.ALIVE) + IV.TEXT).otherwise(
+        element + media + bit(n["tag"].isin(leaf_media), IV.LEAF)
+    )
+    return own.bitwiseOR(by_class)
+
+
+def _replacing_text(n: Column) -> Column:
+    """The text that takes the place of a node; the last class word counts."""
+    return F.coalesce(*(F.when(_has_class(n, [w]), F.lit(t)) for w, t in reversed(C.REPLACED_CLASSES.items())))
+
+
+def _simplified_nodes(nodes: Column, codes: Column, stays: Column) -> Column:
+    """The nodes that stay, with the texts of replaced ones and paths without inline elements."""
+
+    def path_without(path: Column) -> Column:
+        return F.filter(path, lambda e: ~e["tag"].isin(C.INLINE_TAGS))
+
+    def made(x: Column) -> Column:
+        n = x["n"]
+        leaf = F.array(F.struct(F.lit(TEXT_TAG).alias("tag"), _no(n).alias("no")))
+        as_text = (
+            n.withField("tag", F.lit(TEXT_TAG))
+            .withField("path", F.concat(path_without(F.slice(n["path"], 1, F.size(n["path"]) - 1)), leaf))
+            .withField("text", _replacing_text(n))
+            .withField("end", _no(n))
+        )
+        return (
+            F.when(x["c"].bitwiseAND(IV.REPLACED) != 0, as_text)
+            .when(x["s"] == IV.INSIDE_UNWRAPPED, n.withField("path", path_without(n["path"])))
+            .otherwise(n)
+        )
+
+    pairs = F.zip_with(nodes, codes, lambda n, c: F.struct(n.alias("n"), c.alias("c")))
+    marked = F.zip_with(pairs, stays, lambda x, s: x.withField("s", s))
+    return F.transform(F.filter(marked, lambda x: x["s"] != IV.GONE), made)
+
+
 def simplify(pages_nodes: DataFrame) -> DataFrame:
-    """All tree simplifications in their order.
+    """All tree simplifications, with the result of SIMPLIFICATIONS one after the other.
 
-    One projection per step keeps each expression small for the analyzer.
+    Every step up to drop_empty_leaves takes out whole subtrees or single nodes by what the nodes
+    themselves are, so one sweep over the codes of a page's nodes decides for all of them.
     """
-    for step in SIMPLIFICATIONS:
-        if step is drop_empty_leaves:
-            pages_nodes = drop_empty_nodes(pages_nodes)
-        else:
-            pages_nodes = pages_nodes.withColumn("nodes", step(F.col("nodes")))
-    return pages_nodes
+    nodes, codes = F.col("nodes"), F.col("_codes")
+    coded = pages_nodes.withColumn("_codes", F.transform(nodes, _node_code))
+    swept = coded.withColumn("_stays", IV.simplified(_nos(nodes), _ends(nodes), _parents(nodes), codes))
+    left = swept.withColumn("nodes", _simplified_nodes(nodes, codes, F.col("_stays"))).drop("_codes", "_stays")
+    left = left.withColumn("nodes", unnest_same_tag(nodes))
+    return left.withColumn("nodes", remerge_text(nodes))
 
 
 # --- Leaves to document nodes ------------------------------------------------------
@@ -338,37 +423,6 @@ def media_record(node: Column, page_url: Column, inner_src: Column) -> Column:
     )
 
 
-def figure_captions(nodes: Column, last: Column) -> Column:
-    """Captions of a page: number of the figure (or the caption's parent) and the text.
-
-    `last` is intervals.last_inside of the nodes: the texts of a caption are the slice of the
-    array between it and its last descendant, so each caption reads only its own subtree.
-    `nodes` must be a column of the table, as it is read inside a lambda.
-    """
-    spans = F.transform(
-        F.zip_with(nodes, last, lambda n, l: F.struct(n.alias("n"), l.alias("l"))), lambda x, i: x.withField("i", i)
-    )
-    return F.transform(
-        F.filter(spans, lambda x: x["n"]["tag"] == "figcaption"),
-        lambda c: F.struct(
-            F.coalesce(
-                F.get(F.reverse(F.filter(c["n"]["path"], lambda e: e["tag"] == "figure")), F.lit(0))["no"],
-                _parent_no(c["n"]),
-            ).alias("no"),
-            F.array_join(
-                F.filter(
-                    F.transform(
-                        F.filter(F.slice(nodes, c["i"] + 2, (c["l"] - c["i"]).cast("int")), _is_text),
-                        lambda t: T.strip_blanks(t["text"]),
-                    ),
-                    lambda x: x != "",
-                ),
-                " ",
-            ).alias("caption"),
-        ),
-    )
-
-
 def caption(node: Column, figure_caption: Column) -> Column:
     """Caption of an image: that of its figure, else alt, else title, else ''."""
     return F.coalesce(
@@ -388,10 +442,8 @@ def keep_text_and_images(nodes: Column, page_url: Column, captions: Column) -> C
 
     def leaf(x: Column) -> Column:
         n = x["n"]
-        meta = let(
-            F.when(n["tag"] == "img", U.image_source(n["attrs"])),
-            lambda raw: image_record(n["attrs"], page_url, raw),
-        )
+        record = let(U.image_source(n["attrs"]), lambda raw: image_record(n["attrs"], page_url, raw))
+        meta = F.when(n["tag"] == "img", record)
 
         def made(m: Column) -> Column:
             is_text = _is_text(n)
@@ -417,12 +469,18 @@ def keep_text_and_images(nodes: Column, page_url: Column, captions: Column) -> C
 def with_captions(pages_nodes: DataFrame, column: str = "nodes", out: str = "_captions") -> DataFrame:
     """Adds `out`: the figure caption of every node, from one sweep over each page (B18)."""
     nodes = F.col(column)
-    step = pages_nodes.withColumn("_last", IV.last_inside(_nos(nodes), _ends(nodes)))
-    captions = figure_captions(nodes, F.col("_last"))
-    texts = IV.caption_texts(
-        _nos(nodes), _ends(nodes), F.transform(captions, lambda c: c["no"]), F.transform(captions, lambda c: c["caption"])
-    )
-    return step.withColumn(out, texts).drop("_last")
+
+    def holder(n: Column) -> Column:
+        at = F.array_position(F.reverse(n["path"]["tag"]), "figure")
+        figure = F.get(F.reverse(n["path"]["no"]), at.cast("int") - 1)
+        return F.when(n["tag"] == "figcaption", F.coalesce(figure, _parent_no(n)))
+
+    def caption_leaf(n: Column) -> Column:
+        inside = F.when(_is_text(n), F.array_contains(n["path"]["tag"], "figcaption"))
+        return F.when(inside, T.strip_blanks(n["text"]))
+
+    texts = IV.figure_captions(_nos(nodes), _ends(nodes), F.transform(nodes, holder), F.transform(nodes, caption_leaf))
+    return pages_nodes.withColumn(out, texts)
 
 
 def _tag_strength(tag: Column) -> Column:

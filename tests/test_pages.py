@@ -82,6 +82,54 @@ def test_node_numbers_and_paths():
     assert [r["pos"] for r in rows] == [r["path"][-1]["no"] for r in rows] == list(range(6))
 
 
+PLAIN = [
+    '<div class="more-link footer">x</div><nav class="more-link"><p>y</p></nav><p>z<b class="update">u</b></p>',
+    '<div class="post-date">a<i>b<p>c</p></i><div class="more-link">m</div></div>',
+    '<video><source src=""><source src="v.mp4"></video><video><b class="footer"><source src="w.mp4"></b></video><p> </p>',
+    '<div><div><div> <p>a</p></div></div></div><figure><figure><img src="a.png"><figcaption>c<b> d</b></figcaption></figure>e</figure>',
+    "<p> </p><section><h2>t</h2><foo>l</foo><iframe>in<img src=i></iframe></section><table><tr><td> <td>x",
+]
+
+
+def test_one_sweep_gives_what_the_steps_give(spark):
+    from tessella.operators import html as H
+    from tessella.sources.dom import build_dom_nodes
+
+    pages = spark.createDataFrame([(i, "https://h.org/p", h) for i, h in enumerate([*CASES, *PLAIN])], "doc_id long, url string, html string")
+    nodes = build_dom_nodes(pages)
+    steps = nodes
+    for step in H.SIMPLIFICATIONS:
+        steps = H.drop_empty_nodes(steps) if step is H.drop_empty_leaves else steps.withColumn("nodes", step(F.col("nodes")))
+    swept = H.simplify(nodes)
+    assert sorted(swept.select("doc_id", "nodes").collect()) == sorted(steps.select("doc_id", "nodes").collect())
+
+
+def test_page_flow_crosses_to_python_four_times(spark):
+    """The parser, the sweep over subtrees, the nested elements and the captions; it was eleven."""
+    pages = spark.createDataFrame([(1, "https://h.org/p", "<p>a</p>")], "doc_id long, url string, html string")
+    plan = pages_to_documents(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") == 4
+
+
+@pytest.mark.parametrize("text", ["a", " a ", "\ta\n b", "a#BR_TAG# b", " #BR_TAG#", "a  b", "\u00a0a\u2003", "", "é  "])
+def test_format_text(spark, text):
+    from tessella.functions.text import format_text
+
+    flat = text.replace("\n", " ").replace("\t", " ")
+    while "  " in flat:
+        flat = flat.replace("  ", " ")
+    head, tail = " " * flat.startswith(" "), " " * (flat.endswith(" ") and len(flat) > 1)
+    lines = "\n".join(x.strip() for x in flat.split("#BR_TAG#"))
+    assert spark.range(1).select(format_text(F.lit(text))).first()[0] == head + lines + tail
+
+
+def test_clean_html(spark):
+    from tessella.operators.html import clean_html
+
+    html = "a\n\n\nb   c<!-- x\n -->d<br>e<br/>f<br />g</br>h<br  />"
+    assert spark.range(1).select(clean_html(F.lit(html))).first()[0] == "a\nb cd#BR_TAG#e#BR_TAG#f#BR_TAG#g#BR_TAG#h#BR_TAG#"
+
+
 def test_no_shuffle_from_page_to_document(spark):
     pages = spark.createDataFrame([(1, "https://h.org/p", "<p>a</p>")], "doc_id long, url string, html string")
     plan = pages_to_documents(pages)._jdf.queryExecution().executedPlan().toString()
