@@ -14,10 +14,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column
 
 from tessella.functions.intervals import lazy_udf
@@ -264,14 +266,84 @@ def summed_chars(n: int):
     return run
 
 
+# A text is looked up by pieces of many texts: each piece asks once for each of its grams.
+
+
+def piece_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: rows with `_text` get `_piece`, which neighbours of a task share up to 8 PIECE bytes."""
+    first, before = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        # A row counts a little besides its text, so that short texts fill a piece too.
+        sizes = pc.binary_length(batch.column("_text")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+        ends = before + np.cumsum(sizes)
+        yield batch.append_column("_piece", pa.array(first + (ends - sizes) // (8 * PIECE)))
+        before = int(ends[-1]) if len(ends) else before
+
+
+def _named_grams(texts: pa.Array, n: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """For each gram of the texts its place in the second result, the keys; and the texts' numbers of grams."""
+    points, offsets = code_points(texts)
+    names, _ = gram_names(points, n)
+    total = np.maximum(np.diff(offsets) - n + 1, 0)
+    places = np.arange(total.sum()) + np.repeat(offsets[:-1] - (np.cumsum(total) - total), total)
+    if not len(places):
+        return places, _char_keys(points, places, n), total
+    names, distinct = _ranks(names[places])
+    where = np.zeros(distinct, np.int64)
+    where[names] = places
+    return names, _char_keys(points, where, n), total
+
+
+def piece_keys(n: int):
+    """mapInArrow function: (_piece, _text) to the distinct (_piece, key)."""
+
+    def asked(piece: int, texts: list[pa.Array]) -> pa.RecordBatch:
+        keys = _named_grams(pa.chunked_array(texts), n)[1]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), piece)), keys], names=["_piece", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, texts = 0, []
+        for batch in batches:
+            piece = batch.column("_piece").to_numpy(zero_copy_only=False)
+            borders = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(piece)] if len(piece) else []
+            for a, b in zip(borders, borders[1:]):
+                if texts and piece[a] != held:
+                    yield asked(held, texts)
+                    texts = []
+                held = piece[a]
+                texts.append(batch.column("_text").slice(a, b - a))
+        if texts:
+            yield asked(held, texts)
+
+    return run
+
+
+def piece_sums(n: int, ids: list[str], weights: list[str]):
+    """applyInArrow function on the texts of a piece and its (key, weights): for each text (ids, m,
+    sums of the weights), with m grams; unknown grams and NULL weights count 0."""
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        names, keys, total = _named_grams(texts["_text"], n)
+        ends = np.cumsum(total)
+        at = pc.index_in(keys, known["key"].combine_chunks()).fill_null(-1).to_numpy(zero_copy_only=False)
+        sums = []
+        for w in weights:
+            # Place -1 is the weight of an unknown gram.
+            of_key = np.append(known[w].fill_null(0).to_numpy().astype(np.int64), 0)[at]
+            running = np.concatenate([[0], np.cumsum(of_key[names])])
+            sums.append(pa.array(running[ends] - running[ends - total]))
+        return pa.table([*[texts[c] for c in ids], pa.array(total), *sums], names=[*ids, "m", *weights])
+
+    return run
+
+
 START, END = "<s>", "</s>"
 
 
 def line_bigrams(text: str) -> Iterator[tuple[str, str]]:
     """Neighbouring tokens of every line of a text, with the border tokens around each line."""
-    for line in text.split("\n"):
-        tokens = [START, *filter(None, line.replace("\t", " ").split(" ")), END]
-        yield from zip(tokens, tokens[1:])
+    lines = [[START, *filter(None, line.split(" ")), END] for line in text.replace("\t", " ").split("\n")]
+    return chain.from_iterable(zip(tokens, tokens[1:]) for tokens in lines)
 
 
 def _bigram_counts(texts: pa.Array) -> pa.Array:

@@ -28,7 +28,13 @@ BLANK_CLASS = "[\\s\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{BLANK_CLASS}+|{BLANK_CLASS}+$", "")
+    """Without the blanks at both ends; a text with none there is not scanned."""
+
+    def stripped(t: Column) -> Column:
+        ends = F.left(t, F.lit(1)).rlike(BLANK_CLASS) | F.right(t, F.lit(1)).rlike(BLANK_CLASS)
+        return F.when(ends, F.regexp_replace(t, f"^{BLANK_CLASS}+|{BLANK_CLASS}+$", "")).otherwise(t)
+
+    return let(text, stripped)
 
 
 def collapse_linebreaks(html: Column) -> Column:
@@ -55,21 +61,22 @@ def where_found(text: Column, part: str, change) -> Column:
     return let(text, lambda t: F.when(F.contains(t, F.lit(part)), change(t)).otherwise(t))
 
 
+def _not_ascii(text: Column, change) -> Column:
+    """`change(text)`, which leaves ASCII alone, for texts that hold more."""
+    return let(text, lambda t: F.when(F.octet_length(t) > F.length(t), change(t)).otherwise(t))
+
+
 def format_text(text: Column) -> Column:
     """One text leaf of a page: blanks squeezed, line-break tokens turned into newlines.
 
     A blank at either end is kept as one space, because it decides how the text
     joins its neighbours.
     """
-    flat = where_found(F.translate(text, "\n\t", "  "), "  ", collapse_spaces)
-
-    def stripped(t: Column) -> Column:
-        ends = F.left(t, F.lit(1)).rlike(BLANK_CLASS) | F.right(t, F.lit(1)).rlike(BLANK_CLASS)
-        return F.when(ends, strip_blanks(t)).otherwise(t)
+    flat = where_found(F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" ")), "  ", collapse_spaces)
 
     def shaped(t: Column) -> Column:
         parts = F.array_join(F.transform(F.split(t, C.LINE_BREAK_TOKEN), strip_blanks), "\n")
-        lines = F.when(F.contains(t, F.lit(C.LINE_BREAK_TOKEN)), parts).otherwise(stripped(t))
+        lines = F.when(F.contains(t, F.lit(C.LINE_BREAK_TOKEN)), parts).otherwise(strip_blanks(t))
         head = F.when(t.startswith(" "), F.lit(" ")).otherwise(F.lit(""))
         tail = F.when(t.endswith(" ") & (F.length(t) > 1), F.lit(" ")).otherwise(F.lit(""))
         return F.concat(head, lines, tail)
@@ -87,7 +94,7 @@ def strip_nonprinting(text: Column, keep_newlines: bool = False) -> Column:
 
 
 def standardize_whitespace(text: Column) -> Column:
-    return F.translate(text, C.SPACE_LIKE, " " * len(C.SPACE_LIKE))
+    return _not_ascii(text, lambda t: F.translate(t, C.SPACE_LIKE, " " * len(C.SPACE_LIKE)))
 
 
 def clean_text(text: Column, keep_newlines: bool = True) -> Column:
@@ -96,7 +103,9 @@ def clean_text(text: Column, keep_newlines: bool = True) -> Column:
     With `keep_newlines=False` a newline counts as non-printing, and no paragraph
     border survives the clean-up.
     """
-    return standardize_whitespace(strip_nonprinting(text, keep_newlines))
+    chars = "".join(chr(p) for p in C.NON_PRINTING_CODE_POINTS if not (keep_newlines and p == 10)) + C.SPACE_LIKE
+    # Both make spaces, so one pass does for both.
+    return F.translate(text, chars, " " * len(chars))
 
 
 def split_ws(text: Column, newline: bool = False, tab: bool = False) -> Column:
@@ -152,7 +161,7 @@ def normalize(
             if len(plain) > 1:
                 text = F.replace(text, F.lit(mark), F.lit(plain))
         single = {mark: plain for mark, plain in C.UNICODE_PUNCTUATION.items() if len(plain) == 1}
-        text = F.translate(text, "".join(single), "".join(single.values()))
+        text = _not_ascii(text, lambda t: F.translate(t, "".join(single), "".join(single.values())))
     return text
 
 

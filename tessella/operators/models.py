@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessella.functions import ngrams
 from tessella.functions import text as T
@@ -62,7 +63,7 @@ class LanguageModel:
 
 
 def _flat(text: Column) -> Column:
-    return F.translate(F.lower(text), "\n", " ")
+    return F.replace(F.lower(text), F.lit("\n"), F.lit(" "))
 
 
 def language_keys(text: Column, n: int = 3) -> Column:
@@ -114,11 +115,20 @@ def identify_language(
 
     Every text has a row; one without any n-gram gets the first language with equal odds.
     """
-    facts = weighted_keys(texts, ids, language_keys(F.col(text), model.n), model.weights)
-    sums = facts.groupBy(*ids).agg(
-        F.sum("c").alias("m"),
-        *[F.sum(F.col("c") * F.coalesce(f"w{i}", F.lit(0))).alias(f"s{i}") for i in range(len(model.languages))],
+    names = [f"w{i}" for i in range(len(model.languages))]
+    # Settled, so that a piece holds the same texts whenever it is read.
+    flat = texts.select(*ids, _flat(F.col(text)).alias("_text"))
+    fields = flat.schema.fields
+    pieces = settle(flat.mapInArrow(ngrams.piece_numbers, StructType([*fields, StructField("_piece", LongType())])))
+    asked = pieces.select("_piece", "_text").mapInArrow(
+        ngrams.piece_keys(model.n), f"_piece bigint, key {ngrams.char_key_type(model.n)}"
+    )
+    known = asked.join(model.weights, "key").select("_piece", "key", *names)
+    of_text = StructType([*fields[:-1], *[StructField(c, LongType()) for c in ("m", *names)]])
+    parts = pieces.groupBy("_piece").cogroup(known.groupBy("_piece")).applyInArrow(
+        ngrams.piece_sums(model.n, ids, names), of_text
     )
+    sums = parts.groupBy(*ids).agg(F.sum("m").alias("m"), *[F.sum(w).alias(f"s{i}") for i, w in enumerate(names)])
     costs = F.sort_array(
         F.array(
             *[
@@ -164,7 +174,7 @@ def train_bigram_model(corpus: DataFrame, text: str = "text", k: float = 0.1, mi
     # Counted within the batches first, so that few rows are grouped.
     bigrams = normal.mapInArrow(ngrams.summed_bigrams, "key string, n bigint")
     counts = settle(bigrams.groupBy("key").agg(F.sum("n").alias("n")))
-    vocabulary = counts.agg(F.count_distinct(F.substring_index("key", " ", -1)).alias("v"))
+    vocabulary = settle(counts.agg(F.count_distinct(F.substring_index("key", " ", -1)).alias("v")))
     v = vocabulary.scalar()
     context = F.substring_index("key", " ", 1)
     smooth = F.lit(k)
@@ -190,10 +200,15 @@ def perplexity(
     facts = weighted_keys(texts, ids, bigram_keys(F.col(text)), model.weights)
     # A bigram that is not stored may still have a known context.
     facts = facts.withColumn("_context", F.when(F.col("w").isNull(), F.substring_index("key", " ", 1)))
+    # Stored bigrams are summed before contexts are looked up: one row for all of them in a text.
+    facts = facts.groupBy(*ids, "_context").agg(
+        F.sum(F.col("c") * F.coalesce("w", F.lit(0))).alias("hit"),
+        F.sum(F.when(F.col("key").isNotNull(), F.col("c"))).alias("m"),
+    )
     facts = _look_up(facts, "_context", ids, model.contexts.withColumnRenamed("w", "_w"))
+    of_contexts = F.when(F.col("_w").isNotNull(), F.col("m") * F.col("_w"))
     sums = facts.groupBy(*ids).agg(
-        F.sum(F.col("c") * F.coalesce("w", "_w", F.lit(0))).alias("hit"),
-        F.sum(F.when(F.col("key").isNotNull(), F.col("c"))).alias("m"),
+        F.sum(F.col("hit") + F.coalesce(of_contexts, F.lit(0))).alias("hit"), F.sum("m").alias("m")
     )
     score = F.col("hit") + F.col("m") * model.base.scalar()
     return sums.select(
