@@ -38,6 +38,7 @@ def failed_by_models(texts: DataFrame, ids: list[str], text: str, checks: TextCh
     """(ids) of the texts that fail the language or the perplexity check.
 
     A check with a bound needs its model; `checks.without_models()` leaves both out.
+    Perplexities are made only of texts that pass the language check.
     """
     if checks.min_language_score is not None and models.language is None:
         raise ValueError("the language check has a bound and no model")
@@ -46,7 +47,9 @@ def failed_by_models(texts: DataFrame, ids: list[str], text: str, checks: TextCh
     failed = texts.select(*ids).limit(0)
     if checks.min_language_score is not None:
         wrong = (F.col("lang_pred") != checks.language) | (F.col("lang_score") < checks.min_language_score)
-        failed = failed.unionByName(identify_language(texts, models.language, ids, text).filter(wrong).select(*ids))
+        failed = settle(identify_language(texts, models.language, ids, text).filter(wrong).select(*ids))
+        # A text without an id stays, as it equals no failed one.
+        texts = texts.join(failed, ids, "left_anti") if checks.max_perplexity is not None else texts
     if checks.max_perplexity is not None:
         high = F.col("perplexity") > checks.max_perplexity
         failed = failed.unionByName(perplexity(texts, models.perplexity, ids, text).filter(high).select(*ids))

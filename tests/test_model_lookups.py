@@ -10,6 +10,8 @@ from tessella import constants as C
 from tessella.functions import ngrams
 from tessella.functions import text as T
 from tessella.operators import models
+from tessella.plans import flows
+from tessella.plans.options import TextChecks
 
 ROWS = [
     (1, "the cat sat on the mat\nthe end", "en"),
@@ -94,6 +96,22 @@ def test_stored_bigrams_are_summed_before_contexts_are_looked_up(spark):
         assert r.perplexity == (pytest.approx(10 ** (-score / 1e6 / sum(grams.values())), abs=0.11) if grams else None)
 
 
+def test_perplexities_are_made_only_of_texts_in_the_language(spark, monkeypatch):
+    """Texts that had failed the language check were looked up in the bigram model too."""
+    docs = spark.createDataFrame([(1, "the cat sat", "en"), (2, "die katze dort", "de"), (3, "zz zz the", "en"), (4, None, None)], "doc_id long, text string, lang string")
+    known = docs.filter("doc_id < 3")
+    trained = flows.Models(models.train_language_model(known), models.train_bigram_model(known))
+    checks = TextChecks(language="en", min_language_score=0.4, max_perplexity=8.0)
+    asked = []
+    monkeypatch.setattr(flows, "perplexity", lambda texts, *a: asked.append({r.doc_id for r in texts.collect()}) or models.perplexity(texts, *a))
+    failed = flows.failed_by_models(docs, ["doc_id"], "text", checks, trained)
+    languages = {r.doc_id: (r.lang_pred, r.lang_score) for r in models.identify_language(docs, trained.language, ["doc_id"]).collect()}
+    wrong = {i for i, (lang, score) in languages.items() if lang != "en" or score < 0.4}
+    high = {r.doc_id for r in models.perplexity(docs, trained.perplexity, ["doc_id"]).collect() if (r.perplexity or 0) > 8}
+    assert 2 in wrong and 1 not in wrong and asked == [{1, 2, 3, 4} - wrong]
+    assert {r.doc_id for r in failed.collect()} == wrong | high
+
+
 def test_clean_up_of_texts_with_and_without_more_than_ascii(spark):
     texts = ["plain", " \x85a\x1cb ", "\u3000a\ufffcb\u3000", "\ufffca", "a\tb\nc\x07", "\u201cx\u201d\x84", "a\n", None, "", "\u2028x\xa0"]
     plain = lambda t: F.translate(t, C.SPACE_LIKE, " " * len(C.SPACE_LIKE))
