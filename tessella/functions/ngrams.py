@@ -12,7 +12,6 @@ They stand in projections, never inside a lambda.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -220,18 +219,6 @@ def char_counts(texts: pa.Array, n: int) -> pa.Array:
     return pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.struct([("key", pa.int64() if n <= 3 else pa.binary()), ("c", pa.int64())])))
 
 
-def counted_chars(text: Column, n: int) -> Column:
-    """array<struct<key, c>>: the n-grams of characters of a text with their counts."""
-
-    def run(texts: pa.Array) -> pa.Array:
-        return char_counts(texts, n)
-
-    key = ("char_counts", n)
-    if key not in _UDFS:
-        _UDFS[key] = lazy_udf(run, f"array<struct<key:{char_key_type(n)},c:bigint>>")
-    return _UDFS[key](text)
-
-
 def summed_chars(n: int):
     """mapInArrow function: (label, text) to (label, key, n), summed over the texts of a piece."""
 
@@ -344,46 +331,3 @@ def line_bigrams(text: str) -> Iterator[tuple[str, str]]:
     """Neighbouring tokens of every line of a text, with the border tokens around each line."""
     lines = [[START, *filter(None, line.split(" ")), END] for line in text.replace("\t", " ").split("\n")]
     return chain.from_iterable(zip(tokens, tokens[1:]) for tokens in lines)
-
-
-def _bigram_counts(texts: pa.Array) -> pa.Array:
-    ends, keys, counts = [0], [], []
-    for text in texts.to_pylist():
-        if text is not None:
-            found = Counter(line_bigrams(text))
-            keys += [f"{a} {b}" for a, b in found]
-            counts += found.values()
-        ends.append(len(keys))
-    items = pa.StructArray.from_arrays([pa.array(keys, pa.string()), pa.array(counts, pa.int64())], ["key", "c"])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
-
-
-def bigram_counts(texts: pa.Array) -> pa.Array:
-    """list<struct<key, c>>: the distinct bigrams 'a b' of every text with their counts."""
-    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-    parts = [_bigram_counts(texts.slice(a, b - a)) for a, b in pieces(sizes)]
-    return pa.concat_arrays(parts) if parts else _bigram_counts(texts)
-
-
-_bigrams = lazy_udf(bigram_counts, "array<struct<key:string,c:bigint>>")
-
-
-def counted_bigrams(text: Column) -> Column:
-    """array<struct<key, c>>: the bigrams of the lines of a normalized text with their counts."""
-    return _bigrams(text)
-
-
-def summed_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow function: (text) to (key, n), summed over the texts of a piece."""
-    for batch in batches:
-        texts = batch.column("text")
-        sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-        for a, b in pieces(sizes, 8 * PIECE):
-            found: Counter = Counter()
-            for text in texts.slice(a, b - a).to_pylist():
-                if text is not None:
-                    found.update(line_bigrams(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{x} {y}" for x, y in found], pa.string()), pa.array(list(found.values()), pa.int64())],
-                names=["key", "n"],
-            )

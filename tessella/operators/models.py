@@ -1,48 +1,23 @@
 """Language and perplexity models as tables.
 
-Both models are tables of (key, weight) and both scores are sums: a text is reduced,
-inside its row, to its distinct keys with their counts; the keys look up their
-weights; one partial sum per text is all that is shuffled when the model is small
-enough for Spark to broadcast it. Weights are integers (millionths of a logarithm), so a score
-does not depend on the order of summation.
+Both scores are sums over the keys of a text: pieces of many texts look up each of their
+distinct keys once and add up the weights of each text. Weights are integers (millionths of a
+logarithm), so a score does not depend on the order of summation.
 """
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tessella.functions import ngrams
-from tessella.functions import text as T
+from tessella.functions import bigrams, ngrams
 from tessella.sources.storage import settle
 
 UNIT = 1_000_000
 
 
-def weighted_keys(texts: DataFrame, ids: list[str], counted: Column, model: DataFrame) -> DataFrame:
-    """(ids, key, c, model columns): the keys of each text with what the model says about them.
-
-    `counted` holds the distinct keys of a text with their counts. Unknown keys stay, with NULLs,
-    and a text without keys has one row with a NULL key; such rows are dealt by their ids. The join
-    is a plain one on a table: a model whose size in bytes is below the session's broadcast
-    threshold is broadcast, a larger one is shuffled, and adaptive execution splits the rows of a
-    frequent key.
-    """
-    facts = texts.select(*ids, counted.alias("_counted")).select(*ids, F.inline_outer("_counted")).fillna(0, ["c"])
-    return _look_up(facts, "key", ids, model)
-
-
-def _look_up(facts: DataFrame, key: str, ids: list[str], model: DataFrame) -> DataFrame:
-    """`facts` with the columns of the model under their key; NULL keys match nothing."""
-    kind = model.schema["key"].dataType.simpleString()
-    # Keys of characters are not negative, others never start with NUL.
-    spread = F.xxhash64(*ids)
-    none = -1 - F.pmod(spread, F.lit(1 << 62)) if kind == "bigint" else F.concat(F.lit("\0 "), spread.cast("string")).cast(kind)
-    facts = facts.withColumn("_key", F.coalesce(key, none))
-    return facts.join(model.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
-
-
 # --- Language ---------------------------------------------------------------------
 
 
@@ -66,11 +41,6 @@ def _flat(text: Column) -> Column:
     return F.replace(F.lower(text), F.lit("\n"), F.lit(" "))
 
 
-def language_keys(text: Column, n: int = 3) -> Column:
-    """array<struct<key, c>>: the character n-grams of a text with their counts."""
-    return ngrams.counted_chars(_flat(text), n)
-
-
 def train_language_model(
     labelled: DataFrame,
     text: str = "text",
@@ -148,19 +118,47 @@ def identify_language(
 # --- Perplexity ---------------------------------------------------------------------
 
 
+#: Bytes of the corpus in a bucket of bigrams, and the least number of buckets.
+BUCKET, MIN_BUCKETS = 1 << 23, 16
+#: Questions and counts are shuffled for so many ranges of buckets, one after the other.
+SLICES = 2
+
+
+@dataclass(frozen=True)
+class BigramWeights:
+    """Counts to weights, with the number v of distinct next tokens as `vocabulary`."""
+
+    vocabulary: int
+    k: float
+    min_count: int
+
+    def of_bigram(self, n: np.ndarray) -> np.ndarray:
+        """Weights of bigrams seen n times; 0 for those that are not stored."""
+        return np.where(n >= max(self.min_count, 1), _units(np.log10(n + self.k) - np.log10(self.k)), 0)
+
+    def of_context(self, n: np.ndarray) -> np.ndarray:
+        """Weights of contexts seen n times; 0 for unknown ones."""
+        smooth = self.k * max(self.vocabulary, 1)
+        return np.where(n > 0, _units(np.log10(smooth) - np.log10(n + smooth)), 0)
+
+
 @dataclass(frozen=True)
 class BigramModel:
-    """`weights`: (key, w) of bigrams 'a b', that of their context included; `contexts`: (key, w) of
-    contexts 'a', for bigrams that are not stored; `base`: one row (base)."""
+    """`counts`: (bucket, data, nexts), how often each bigram 'a b' and each context 'a' was seen, as blobs of
+    `functions.bigrams`; `base`: one row (base), what every bigram counts before it is looked up."""
 
-    weights: DataFrame
-    contexts: DataFrame
+    counts: DataFrame
+    buckets: int
     base: DataFrame
+    weights: BigramWeights
+
 
+def _units(x: np.ndarray) -> np.ndarray:
+    return (np.sign(x) * np.floor(np.abs(x) * UNIT + 0.5)).astype(np.int64)
 
-def bigram_keys(text: Column) -> Column:
-    """array<struct<key, c>>: the bigrams of the lines of a text with their counts."""
-    return ngrams.counted_bigrams(T.normalize(text, keep_newlines=True))
+
+def _by_place(rows: DataFrame) -> DataFrame:
+    return rows.repartition("at").sortWithinPartitions("at", "kind", "part")
 
 
 def train_bigram_model(corpus: DataFrame, text: str = "text", k: float = 0.1, min_count: int = 1) -> BigramModel:
@@ -170,46 +168,43 @@ def train_bigram_model(corpus: DataFrame, text: str = "text", k: float = 0.1, mi
     ln-sums: a base of -log10 v for each bigram, corrected by the weights of the
     context and of the bigram where they are known.
     """
-    normal = corpus.select(T.normalize(F.col(text), keep_newlines=True).alias("text"))
-    # Counted within the batches first, so that few rows are grouped.
-    bigrams = normal.mapInArrow(ngrams.summed_bigrams, "key string, n bigint")
-    counts = settle(bigrams.groupBy("key").agg(F.sum("n").alias("n")))
-    vocabulary = settle(counts.agg(F.count_distinct(F.substring_index("key", " ", -1)).alias("v")))
-    v = vocabulary.scalar()
-    context = F.substring_index("key", " ", 1)
-    smooth = F.lit(k)
-    of_context = F.log10(smooth * v) - F.log10(F.col("n") + smooth * v)
-    contexts = settle(
-        counts.groupBy(context.alias("key")).agg(F.sum("n").alias("n")).select("key", F.round(of_context * UNIT).cast("bigint").alias("w"))
-    )
-    of_bigram = F.round((F.log10(F.col("n") + smooth) - F.log10(smooth)) * UNIT).cast("bigint")
-    weights = (
-        counts.filter(F.col("n") >= min_count)
-        .select("key", context.alias("_context"), of_bigram.alias("w"))
-        .join(contexts.select(F.col("key").alias("_context"), F.col("w").alias("_w")), "_context")
-        .select("key", (F.col("w") + F.col("_w")).alias("w"))
-    )
-    base = vocabulary.select(F.round(-F.log10("v") * UNIT).cast("bigint").alias("base"))
-    return BigramModel(settle(weights), contexts, settle(base))
+    size = corpus.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = MIN_BUCKETS + size // BUCKET
+    sent = corpus.select(F.col(text).alias("text")).mapInArrow(bigrams.sent_counts(buckets), bigrams.ROWS)
+    counts = settle(_by_place(sent).mapInArrow(bigrams.summed_counts, "bucket bigint, data binary, nexts bigint"))
+    v = F.sum("nexts")
+    base = counts.agg(F.round(-F.log10(v) * UNIT).cast("bigint").alias("base"))
+    return BigramModel(counts, buckets, base, BigramWeights(counts.agg(v).first()[0] or 0, k, min_count))
 
 
 def perplexity(
     texts: DataFrame, model: BigramModel, ids: list[str], text: str = "text"
 ) -> DataFrame:
-    """(ids, perplexity): 10^(-log score / tokens), a line of m tokens counting m + 1."""
-    facts = weighted_keys(texts, ids, bigram_keys(F.col(text)), model.weights)
-    # A bigram that is not stored may still have a known context.
-    facts = facts.withColumn("_context", F.when(F.col("w").isNull(), F.substring_index("key", " ", 1)))
-    # Stored bigrams are summed before contexts are looked up: one row for all of them in a text.
-    facts = facts.groupBy(*ids, "_context").agg(
-        F.sum(F.col("c") * F.coalesce("w", F.lit(0))).alias("hit"),
-        F.sum(F.when(F.col("key").isNotNull(), F.col("c"))).alias("m"),
-    )
-    facts = _look_up(facts, "_context", ids, model.contexts.withColumnRenamed("w", "_w"))
-    of_contexts = F.when(F.col("_w").isNotNull(), F.col("m") * F.col("_w"))
-    sums = facts.groupBy(*ids).agg(
-        F.sum(F.col("hit") + F.coalesce(of_contexts, F.lit(0))).alias("hit"), F.sum("m").alias("m")
-    )
+    """(ids, perplexity): 10^(-log score / tokens), a line of m tokens counting m + 1.
+
+    Pieces of texts, settled as token numbers, ask the buckets of the model for the counts of their
+    distinct bigrams and contexts and then score their texts.
+    """
+    named = texts.select(*ids, F.col(text).alias("_text"))
+    asking = settle(named.mapInArrow(bigrams.packed_pieces(ids), bigrams.ROWS))
+    length = F.sum(F.octet_length("data"))
+    # With many more texts than the model has seen, several tasks share a bucket.
+    copies = max(1, (asking.agg(length).first()[0] or 0) // (model.counts.agg(length).first()[0] or 1))
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy")
+    place = F.col("bucket") * copies + F.col("copy")
+    scored, step = asking, -(-model.buckets // SLICES)
+    for low in range(0, model.buckets, step):
+        high = min(low + step, model.buckets)
+        known = model.counts.filter(F.col("bucket").between(low, high - 1)).select("bucket", "data", copy).select(
+            place.alias("at"), F.lit(bigrams.KNOWN).alias("kind"), F.lit(0).cast("bigint").alias("part"), "data"
+        )
+        asked = asking.mapInArrow(bigrams.asked_counts(model.buckets, copies, low, high), bigrams.ROWS)
+        scored = scored.unionByName(
+            settle(_by_place(known.unionByName(asked)).mapInArrow(bigrams.answered_counts(copies), bigrams.ROWS))
+        )
+    out = StructType([*named.schema.fields[:-1], StructField("hit", LongType()), StructField("m", LongType())])
+    scores = bigrams.scored_texts(model.buckets, model.weights, ids)
+    sums = _by_place(scored).mapInArrow(scores, out).groupBy(*ids).agg(F.sum("hit").alias("hit"), F.sum("m").alias("m"))
     score = F.col("hit") + F.col("m") * model.base.scalar()
     return sums.select(
         *ids, F.round(F.pow(F.lit(10.0), -score / F.lit(float(UNIT)) / F.col("m")), 1).alias("perplexity")
