@@ -28,7 +28,7 @@ from tessella.functions.ngrams import END, START, pieces
 #: Bytes of text worked on at once; a worker takes about 40 times as much besides its Arrow batch.
 PIECE = 1 << 22
 #: Keys looked up at once in a bucket.
-ASKED = 1 << 21
+ASKED = 1 << 19
 ROWS = "at bigint, kind int, part bigint, data binary"
 NAMES = ["at", "kind", "part", "data"]
 #: Kinds of rows: what is looked up in comes before what asks.
@@ -51,14 +51,14 @@ def pack(*parts: np.ndarray | bytes) -> bytes:
         head += [width, len(part)]
         raw.append(part)
     data = b"".join(raw)
-    return np.array(head, "<i8").tobytes() + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+    return np.array(head, "<u4").tobytes() + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
 
 
 def unpack(blob: bytes) -> list[np.ndarray | bytes]:
-    count = int(np.frombuffer(blob, "<i8", 1)[0])
-    head = np.frombuffer(blob, "<i8", 2 * count, 8).reshape(-1, 2).tolist()
+    count = int(np.frombuffer(blob, "<u4", 1)[0])
+    head = np.frombuffer(blob, "<u4", 2 * count, 4).reshape(-1, 2).tolist()
     total, parts, at = sum(n for _, n in head), [], 0
-    data = pa.decompress(memoryview(blob)[16 * count + 8 :], total, codec="zstd", asbytes=True) if total else b""
+    data = pa.decompress(memoryview(blob)[8 * count + 4 :], total, codec="zstd", asbytes=True) if total else b""
     for width, n in head:
         parts.append(_numbers(data, at, n, width) if width else data[at : at + n])
         at += n
@@ -106,6 +106,8 @@ def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[t
 
     for at, group in groupby(all_rows(), key=lambda row: row[0]):
         yield at, (row[1:] for row in group)
+    # An idle worker would keep what it has taken.
+    pa.default_memory_pool().release_unused()
 
 
 # --- Texts as token numbers ----------------------------------------------------------------
@@ -358,6 +360,7 @@ def _texts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
                 held, size = [], 0
     if held:
         yield _one(held)
+    pa.default_memory_pool().release_unused()
 
 
 def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:

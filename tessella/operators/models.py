@@ -119,7 +119,7 @@ def identify_language(
 
 
 #: Bytes of the corpus in a bucket of bigrams, and the least number of buckets.
-BUCKET, MIN_BUCKETS = 1 << 23, 16
+BUCKET, MIN_BUCKETS = 1 << 24, 16
 #: Questions and counts are shuffled for so many ranges of buckets, one after the other.
 SLICES = 2
 
